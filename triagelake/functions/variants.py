@@ -157,21 +157,21 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
 
-def parse_document(raw: Column) -> Column:
-    """Lenient parse of a report: NULL if the text is not JSON."""
-    return F.try_parse_json(raw)
-
-
 def wrapped_json(text: Column) -> Column:
-    """Strict parse: VARIANT ``{"x": <value>}`` if ``text`` is exactly one JSON value, else NULL.
+    """Strict parse: the VARIANT if ``text`` is exactly one JSON value, else NULL.
 
-    Spark's parser ignores text after the first value.  Wrapping the text once in brackets and once in an object closes that
-    gap: trailing text would have to start with ``]`` for one wrapping and with ``}`` for the other.
+    Spark's parser ignores text after the first value.  So the text is parsed as the first element of a list whose second
+    element is the text's own checksum: the checksum is found there only if the text is one complete value.
     """
-    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    keyed = F.try_parse_json(F.concat(F.lit('{"x":'), text, F.lit("}")))
-    return F.when(F.try_variant_get(listed, "$[0]", "variant").isNotNull()
-                  & F.try_variant_get(listed, "$[1]", "variant").isNull(), keyed)
+    checksum = F.md5(text)
+    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), checksum, F.lit('"]')))
+    pair = F.struct(listed.alias("list"), checksum.alias("checksum"))
+    return F.element_at(F.transform(F.array(pair), _first_if_closed), 1)
+
+
+def _first_if_closed(pair: Column) -> Column:
+    closed = F.try_variant_get(pair["list"], "$[1]", "string") == pair["checksum"]
+    return F.when(closed, F.try_variant_get(pair["list"], "$[0]", "variant"))
 
 
 def named_numbers(text: Column) -> Column:

@@ -33,7 +33,7 @@ def _labelled(values: Column, kind: str) -> Column:
     )
 
 
-def _kind_rows(evidence: DataFrame, record: str, names: tuple[str, ...]) -> DataFrame:
+def kind_rows(evidence: DataFrame, record: str, names: tuple[str, ...]) -> DataFrame:
     rows = evidence.select("task_id", F.explode_outer(_kinds(record, names)).alias("item"))
     return rows.where(F.col("item").isNotNull()).select("task_id", "item.kind", "item.pos", "item.value")
 
@@ -58,15 +58,15 @@ def scores(evidence: DataFrame) -> DataFrame:
 
 
 def behavior_artifacts(evidence: DataFrame) -> DataFrame:
-    return _kind_rows(evidence, "behavior_summary", tuple(BEHAVIOR_LISTS))
+    return kind_rows(evidence, "behavior_summary", tuple(BEHAVIOR_LISTS))
 
 
 def iocs(evidence: DataFrame) -> DataFrame:
-    return _kind_rows(evidence, "ioc_candidates", IOC_KINDS)
+    return kind_rows(evidence, "ioc_candidates", IOC_KINDS)
 
 
 def network_summary(evidence: DataFrame) -> DataFrame:
-    return _kind_rows(evidence, "network_summary", ("domains", "hosts", "http", "dns", "tcp", "udp"))
+    return kind_rows(evidence, "network_summary", ("domains", "hosts", "http", "dns", "tcp", "udp"))
 
 
 def process_highlights(evidence: DataFrame) -> DataFrame:
