@@ -1,58 +1,50 @@
-"""List operators on ARRAY columns. They work inside one row, so none of them shuffles."""
+"""List operators on ARRAY values (SQL expression -> SQL expression). They work inside one row, so none of them shuffles."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
+from triagelake.functions.sql import lit
 from triagelake.functions.text import sanitize
 
 
-def empty_strings() -> Column:
-    return F.array().cast("array<string>")
-
-
-def or_empty(values: Column) -> Column:
-    return F.coalesce(values, empty_strings())
+def or_empty(values: str) -> str:
+    return f"coalesce({values}, array())"
 
 
-def dedupe_first_seen(values: Column) -> Column:
+def dedupe_first_seen(values: str) -> str:
     """Trimmed, non-empty, distinct strings in order of first appearance."""
-    return F.array_distinct(F.filter(F.transform(values, lambda v: F.trim(v)), lambda v: v != ""))
+    return f"array_distinct(filter(transform({values}, t -> trim(t)), t -> t <> ''))"
 
 
-def first_n(values: Column, limit: int) -> Column:
-    return F.slice(values, 1, max(0, limit))
+def first_n(values: str, limit: int) -> str:
+    return f"slice({values}, 1, {max(0, limit)})"
 
 
-def sanitize_texts(texts: Column, max_len: int, redact: bool, limit: int | None = None) -> Column:
+def sanitize_texts(texts: str, max_len: int, redact: bool, limit: int | None = None) -> str:
     """Sanitise each string of an ARRAY<STRING>, then drop repeats, then cut; NULL gives []."""
-    cleaned = dedupe_first_seen(F.transform(texts, lambda t: sanitize(t, max_len, redact)))
+    cleaned = dedupe_first_seen(f"transform({texts}, st -> {sanitize('st', max_len, redact)})")
     return or_empty(cleaned if limit is None else first_n(cleaned, limit))
 
 
-def sorted_distinct(values: Column) -> Column:
+def sorted_distinct(values: str) -> str:
     """Distinct strings by code point."""
-    return F.array_sort(F.array_distinct(values))
+    return f"sort_array(array_distinct({values}))"
 
 
-def numbered(prefix: str, position: Column) -> Column:
+def numbered(prefix: str, position: str) -> str:
     """1-based name such as ``proc_3`` for a 0-based position."""
-    return F.concat(F.lit(prefix), (position + 1).cast("string"))
+    return f"concat({lit(prefix)}, string({position} + 1))"
 
 
-def keep_numbered(
-    values: Column, prepare: Callable[[Column], Column], build: Callable[[Column, Column], Column], limit: int
-) -> Column:
+def keep_numbered(values: str, prepare: Callable[[str], str], build: Callable[[str, str], str], limit: int) -> str:
     """Build one struct per non-NULL element, numbered by its raw position, and keep the first ``limit`` of them.
 
     Positions count the NULL elements too, so a name such as ``proc_2`` still points at the second entry of the report.
     Elements are numbered and cut before anything is computed for them.  ``prepare`` computes what ``build`` uses more than
     once.
     """
-    placed = F.transform(values, lambda v, i: F.struct(i.alias("at"), v.alias("item")))
-    kept = first_n(F.filter(placed, lambda p: p["item"].isNotNull()), limit)
-    prepared = F.transform(kept, lambda p: F.struct(p["at"].alias("at"), prepare(p["item"]).alias("item")))
-    return F.transform(prepared, lambda p: build(p["item"], p["at"]))
+    placed = f"transform({values}, (v, i) -> named_struct('at', i, 'item', v))"
+    kept = first_n(f"filter({placed}, p -> p.item IS NOT NULL)", limit)
+    prepared = f"transform({kept}, p -> named_struct('at', p.at, 'item', {prepare('p.item')}))"
+    return f"transform({prepared}, p -> {build('p.item', 'p.at')})"

@@ -1,4 +1,4 @@
-"""Text forms of numbers and records.
+"""Text forms of numbers and records (SQL expression -> SQL expression).
 
 Records inside lists (network traffic, for instance) are shown as text with single quotes, ``True``/``None`` and shortest
 round-trip floats; documents inside prompts are JSON with a space after ``,`` and ``:``.  Both work on compact JSON text
@@ -8,116 +8,103 @@ raw, so that a string token is simply ``"[^"]*"`` and no pattern needs to recurs
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from triagelake.functions.sql import case, concat, let, lit, lits, replace
 
 _BACKSLASH = "\x01"
 _QUOTE = "\x02"
 _TOKEN = r'"[^"]*+"|[^",:\[\]{}]++|[,:\[\]{}]'
 
 
-def double_text(number: Column) -> Column:
+def double_text(number: str) -> str:
     """Shortest text of a DOUBLE: plain from 1e-4 up to 1e16, else with a signed exponent of two digits or more."""
-    text = number.cast("string")
-    size = F.abs(number)
-    digits = F.rtrim(number.try_cast("decimal(38,21)").cast("string"), F.lit("0"))
-    plain = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
-    mantissa = F.regexp_replace(F.substring_index(text, "E", 1), r"\.0$", "")
-    power = F.substring_index(text, "E", -1)
-    amount = F.regexp_replace(power, "^-", "")
-    exponent = F.concat(
-        F.when(power.startswith("-"), F.lit("-")).otherwise(F.lit("+")),
-        F.when(F.length(amount) < 2, F.concat(F.lit("0"), amount)).otherwise(amount),
-    )
-    return (
-        F.when(F.isnan(number), F.lit("nan"))
-        .when(text == "Infinity", F.lit("inf"))
-        .when(text == "-Infinity", F.lit("-inf"))
-        .when(~text.contains("E"), text)
-        .when((size >= 1e-4) & (size < 1e16), plain)
-        .otherwise(F.concat(mantissa, F.lit("e"), exponent))
+    digits = "trim(TRAILING '0' FROM string(try_cast(d AS decimal(38,21))))"
+    power = "regexp_replace(substring_index(string(d), 'E', -1), '^-', '')"
+    exponent = concat(
+        "CASE WHEN string(d) LIKE '%E-%' THEN '-' ELSE '+' END", f"CASE WHEN length({power}) < 2 THEN '0' ELSE '' END", power
     )
+    return let("d", number, case(
+        ("isnan(d)", "'nan'"),
+        ("string(d) = 'Infinity'", "'inf'"),
+        ("string(d) = '-Infinity'", "'-inf'"),
+        ("NOT contains(string(d), 'E')", "string(d)"),
+        ("abs(d) >= 1e-4D AND abs(d) < 1e16D", replace(digits, r"\.$", ".0")),
+        otherwise=concat(replace("substring_index(string(d), 'E', 1)", r"\.0$", ""), "'e'", exponent),
+    ))
 
 
-def _tokens(json_text: Column) -> Column:
-    guarded = F.replace(F.replace(json_text, F.lit("\\\\"), F.lit(_BACKSLASH)), F.lit('\\"'), F.lit(_QUOTE))
-    return F.regexp_extract_all(guarded, F.lit(_TOKEN), F.lit(0))
+def _tokens(json_text: str) -> str:
+    guarded = f"replace(replace({json_text}, {lit(chr(92) * 2)}, {lit(_BACKSLASH)}), {lit(chr(92) + chr(34))}, {lit(_QUOTE)})"
+    return f"regexp_extract_all({guarded}, {lit(_TOKEN)}, 0)"
 
 
-def _number_token(token: Column) -> Column:
-    return F.when(token.rlike("[.eE]"), double_text(token.try_cast("double"))).otherwise(token)
+def _number_token(token: str) -> str:
+    return case((f"{token} RLIKE '[.eE]'", double_text(f"try_cast({token} AS double)")), otherwise=token)
 
 
-def _control_escapes(body: Column) -> Column:
+def _control_escapes(body: str) -> str:
     """Write ``\\u001F`` as ``\\x1f`` and the two escapes that only JSON knows as hexadecimal."""
-    body = F.replace(F.replace(body, F.lit("\\b"), F.lit("\\x08")), F.lit("\\f"), F.lit("\\x0c"))
-    body = F.regexp_replace(body, r"\\u00([01])([0-9A-Fa-f])", r"\\x$1$2")
+    body = f"replace(replace({body}, {lits(chr(92) + 'b', chr(92) + 'x08')}), {lits(chr(92) + 'f', chr(92) + 'x0c')})"
+    body = replace(body, r"\\u00([01])([0-9A-Fa-f])", r"\\x$1$2")
     for letter in "ABCDEF":
-        body = F.regexp_replace(body, rf"(\\x[01]){letter}", f"$1{letter.lower()}")
+        body = replace(body, rf"(\\x[01]){letter}", f"$1{letter.lower()}")
     return body
 
 
-def _hidden_characters(body: Column) -> Column:
+def _hidden_characters(body: str) -> str:
     """Write non-printable characters as hexadecimal escapes."""
-    def shown(ch: Column) -> Column:
-        digits = F.lower(F.hex(F.encode(ch, "UTF-32")))
-        return (
-            F.when((ch == " ") | (ch == _BACKSLASH) | (ch == _QUOTE) | ~ch.rlike(r"^[\p{C}\p{Z}]$"), ch)
-            .when(digits.startswith("000000"), F.concat(F.lit("\\x"), F.substring(digits, 7, 2)))
-            .when(digits.startswith("0000"), F.concat(F.lit("\\u"), F.substring(digits, 5, 4)))
-            .otherwise(F.concat(F.lit("\\U"), digits))
-        )
-
-    spread = F.array_join(F.transform(F.split(body, "(?s)(?<=.)"), shown), "")
-    return F.when(body.rlike(rf"[\p{{C}}\p{{Z}}&&[^ {_BACKSLASH}{_QUOTE}]]"), spread).otherwise(body)
-
-
-def _quoted_token(token: Column) -> Column:
-    body = F.substring(token, F.lit(2), F.length(token) - 2)
-    body = F.when(body.contains("\\"), _control_escapes(body)).otherwise(body)
-    body = _hidden_characters(body)
-    single = F.concat(F.lit("'"), F.replace(body, F.lit("'"), F.lit("\\'")), F.lit("'"))
-    double = F.concat(F.lit('"'), body, F.lit('"'))
-    quoted = F.when(token.contains("'") & ~token.contains(_QUOTE), double).otherwise(single)
-    return F.replace(F.replace(quoted, F.lit(_BACKSLASH), F.lit("\\\\")), F.lit(_QUOTE), F.lit('"'))
-
-
-def record_text(json_text: Column) -> Column:
-    """Display form of a JSON record, e.g. ``{'port': 80, 'ok': True, 'note': None}``."""
-    def shown(token: Column) -> Column:
-        return (
-            F.when(token == ",", F.lit(", "))
-            .when(token == ":", F.lit(": "))
-            .when(token.startswith('"'), _quoted_token(token))
-            .when(token == "true", F.lit("True"))
-            .when(token == "false", F.lit("False"))
-            .when(token == "null", F.lit("None"))
-            .otherwise(_number_token(token))
-        )
+    digits = "lower(hex(encode(ch, 'UTF-32')))"
+    shown = case(
+        (f"ch IN ({lits(' ', _BACKSLASH, _QUOTE)}) OR NOT ch RLIKE {lit('^[' + chr(92) + 'p{C}' + chr(92) + 'p{Z}]$')}", "ch"),
+        (f"{digits} LIKE '000000%'", concat(lit("\\x"), f"substring({digits}, 7, 2)")),
+        (f"{digits} LIKE '0000%'", concat(lit("\\u"), f"substring({digits}, 5, 4)")),
+        otherwise=concat(lit("\\U"), digits),
+    )
+    spread = f"array_join(transform(split({body}, '(?s)(?<=.)'), ch -> {shown}), '')"
+    hidden = rf"[\p{{C}}\p{{Z}}&&[^ {_BACKSLASH}{_QUOTE}]]"
+    return case((f"{body} RLIKE {lit(hidden)}", spread), otherwise=body)
 
-    return F.array_join(F.transform(_tokens(json_text), shown), "")
 
+def _quoted_token(token: str) -> str:
+    escaped = let("inner", f"substring({token}, 2, length({token}) - 2)",
+                  case((f"contains(inner, {lit(chr(92))})", _control_escapes("inner")), otherwise="inner"))
+    double = concat(lit('"'), "body", lit('"'))
+    single = concat(lit("'"), f"replace(body, {lits(chr(39), chr(92) + chr(39))})", lit("'"))
+    quoted = case((f"contains({token}, {lit(chr(39))}) AND NOT contains({token}, {lit(_QUOTE)})", double), otherwise=single)
+    shown = let("body", let("plain", escaped, _hidden_characters("plain")), quoted)
+    return f"replace(replace({shown}, {lits(_BACKSLASH, chr(92) * 2)}), {lits(_QUOTE, chr(34))})"
+
+
+def record_text(json_text: str) -> str:
+    """Display form of a JSON record, e.g. ``{'port': 80, 'ok': True, 'note': None}``."""
+    shown = case(
+        ("tok = ','", "', '"),
+        ("tok = ':'", "': '"),
+        (f"startswith(tok, {lit(chr(34))})", _quoted_token("tok")),
+        ("tok = 'true'", "'True'"),
+        ("tok = 'false'", "'False'"),
+        ("tok = 'null'", "'None'"),
+        otherwise=_number_token("tok"),
+    )
+    return f"array_join(transform({_tokens(json_text)}, tok -> {shown}), '')"
 
-def spaced_json(json_text: Column) -> Column:
-    """JSON with one space after each ``,`` and ``:`` outside strings."""
-    def shown(token: Column) -> Column:
-        return (
-            F.when(token == ",", F.lit(", "))
-            .when(token == ":", F.lit(": "))
-            .when(token.startswith('"') | token.isin("[", "]", "{", "}", "true", "false", "null"), token)
-            .otherwise(_number_token(token))
-        )
 
-    joined = F.array_join(F.transform(_tokens(json_text), shown), "")
-    return F.replace(F.replace(joined, F.lit(_BACKSLASH), F.lit("\\\\")), F.lit(_QUOTE), F.lit('\\"'))
+def spaced_json(json_text: str) -> str:
+    """JSON with one space after each ``,`` and ``:`` outside strings."""
+    shown = case(
+        ("tok = ','", "', '"),
+        ("tok = ':'", "': '"),
+        (f"startswith(tok, {lit(chr(34))}) OR tok IN ('[', ']', '{{', '}}', 'true', 'false', 'null')", "tok"),
+        otherwise=_number_token("tok"),
+    )
+    joined = f"array_join(transform({_tokens(json_text)}, tok -> {shown}), '')"
+    return f"replace(replace({joined}, {lits(_BACKSLASH, chr(92) * 2)}), {lits(_QUOTE, chr(92) + chr(34))})"
 
 
-def json_string(text: Column) -> Column:
+def json_string(text: str) -> str:
     """A STRING as a quoted JSON string."""
-    listed = F.to_json(F.array(text))
-    return F.substring(listed, F.lit(2), F.length(listed) - 2)
+    return f"regexp_replace(to_json(array({text})), '^.|.$', '')"
 
 
-def json_strings(values: Column) -> Column:
+def json_strings(values: str) -> str:
     """An ARRAY<STRING> as a JSON list with a space after each comma."""
-    return F.concat(F.lit("["), F.array_join(F.transform(values, json_string), ", "), F.lit("]"))
+    return concat("'['", f"array_join(transform({values}, js -> {json_string('js')}), ', ')", "']'")

@@ -1,9 +1,9 @@
-"""Clean-up and canonical forms of untrusted text (Column -> Column)."""
+"""Clean-up and canonical forms of untrusted text (SQL expression -> SQL expression)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from triagelake.functions.sql import case, concat, let, lit, lits, replace
+from triagelake.functions.variants import strip
 
 # The characters kept besides printable ASCII.
 KEPT_CJK = "中文，。；：！？（）【】《》、“”‘’"
@@ -23,61 +23,56 @@ ATTACK_ID = r"^T[0-9]{4}(\.[0-9]{3})?$"
 HASH = "^[a-fA-F0-9]{32,64}$"
 
 
-def redact_paths(text: Column) -> Column:
+def redact_paths(text: str) -> str:
     """Hide account names in Windows and Unix profile paths."""
-    text = F.regexp_replace(text, r"(?i)\\Users\\[^\\\s]+", r"\\Users\\<redacted>")
-    return F.regexp_replace(text, r"(?i)/home/[^/\s]+", "/home/<redacted>")
+    text = replace(text, r"(?i)\\Users\\[^\\\s]+", r"\\Users\\<redacted>")
+    return replace(text, r"(?i)/home/[^/\s]+", "/home/<redacted>")
 
 
-def sanitize(text: Column, max_len: int = 256, redact: bool = True) -> Column:
+def sanitize(text: str, max_len: int = 256, redact: bool = True) -> str:
     """Printable, single-spaced text of at most ``max_len`` characters; NULL becomes ''.
 
     The order matters: control characters, code blocks, other unprintable characters, white space, account names, cut.
     """
-    text = F.regexp_replace(F.coalesce(text, F.lit("")), CONTROL, "?")
-    text = F.regexp_replace(text, CODE_BLOCK, CODE_BLOCK_MARK)
-    text = F.regexp_replace(text, UNPRINTABLE, "?")
-    text = F.trim(F.regexp_replace(text, r"[ \t\n\r]+", " "))
+    text = replace(f"coalesce({text}, '')", CONTROL, "?")
+    text = replace(text, CODE_BLOCK, CODE_BLOCK_MARK)
+    text = replace(text, UNPRINTABLE, "?")
+    text = f"trim({replace(text, r'[ \t\n\r]+', ' ')})"
     if redact:
         text = redact_paths(text)
-    return F.substring(text, 1, max_len)
+    return f"substring({text}, 1, {max_len})"
 
 
-def severity_label(text: Column, allow_unknown: bool = True) -> Column:
+def severity_label(text: str, allow_unknown: bool = True) -> str:
     """low, medium, high, critical or unknown for a free-form severity."""
-    from triagelake.functions.variants import strip
-
-    label = F.lower(strip(F.coalesce(text, F.lit(""))))
-    return (
-        F.when(label.isin("low", "medium", "high", "critical"), label)
-        .when(label.isin("1", "info", "informational"), F.lit("low"))
-        .when(label.isin("2", "moderate"), F.lit("medium"))
-        .when(label.isin("3", "severe"), F.lit("high"))
-        .when(label.isin("4", "5"), F.lit("critical"))
-        .otherwise(F.lit("unknown" if allow_unknown else "low"))
-    )
+    return let("sv", f"lower({strip(f'coalesce({text}, {lit(str())})')})", case(
+        ("sv IN ('low', 'medium', 'high', 'critical')", "sv"),
+        ("sv IN ('1', 'info', 'informational')", "'low'"),
+        ("sv IN ('2', 'moderate')", "'medium'"),
+        ("sv IN ('3', 'severe')", "'high'"),
+        ("sv IN ('4', '5')", "'critical'"),
+        otherwise="'unknown'" if allow_unknown else "'low'",
+    ))
 
 
-def canonical_domain(text: Column) -> Column:
-    return F.btrim(F.lower(sanitize(text, 255, redact=False)), F.lit("."))
+def canonical_domain(text: str) -> str:
+    return f"btrim(lower({sanitize(text, 255, redact=False)}), '.')"
 
 
-def canonical_ip(text: Column) -> Column:
+def canonical_ip(text: str) -> str:
     return sanitize(text, 64, redact=False)
 
 
-def canonical_url(text: Column, max_len: int = 300) -> Column:
+def canonical_url(text: str, max_len: int = 300) -> str:
     """Lower-case scheme and authority, bounded path and query, no fragment.
 
     A URL with a malformed authority is kept as it is, cut to ``max_len``.
     """
-    clean = sanitize(text, max_len * 2, redact=False)
-    # The one-element transform names the cleaned text, so that it is computed once for all uses below.
-    return F.element_at(F.transform(F.array(clean), lambda url: _rebuilt_url(url, max_len)), 1)
+    return let("url", sanitize(text, max_len * 2, redact=False), _rebuilt_url(max_len))
 
 
-_IPV6_BYTE = "(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
-_IPV4 = rf"{_IPV6_BYTE}(?:\.{_IPV6_BYTE}){{3}}"
+_BYTE = "(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
+_IPV4 = rf"{_BYTE}(?:\.{_BYTE}){{3}}"
 _GROUP = "[0-9a-fA-F]{1,4}"
 
 
@@ -96,42 +91,41 @@ def _ipv6_pattern() -> str:
 
 BRACKETED_HOST = rf"^(?:.*@)?\[(?:v[a-fA-F0-9]+\..+|{_ipv6_pattern()})\](?::.*)?$"
 
-
-def _malformed_authority(authority: Column) -> Column:
-    """Unpaired or misplaced brackets, a bracketed host that is no address, or a wide ':' or '?'."""
-    bracket = authority.contains("[") | authority.contains("]")
-    return (bracket & ~authority.rlike(BRACKETED_HOST)) | authority.rlike("[：？]")
-
-
-def _rebuilt_url(url: Column, max_len: int) -> Column:
-    scheme = F.lower(F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.\-]*):", 1))
-    rest = F.when(scheme == "", url).otherwise(F.substring(url, F.length(scheme) + 2, F.length(url)))
-    parts = r"^(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?"
-    authority = F.lower(F.regexp_extract(rest, parts, 1))
-    path = F.substring(F.regexp_extract(rest, parts, 2), 1, 140)
-    query = F.regexp_extract(rest, parts, 3)
-    query = F.when(F.length(query) > 80, F.concat(F.substring(query, 1, 80), F.lit("..."))).otherwise(query)
-    slashes = F.lit("//")
-    body = (
-        F.when((authority != "") & (path != "") & ~path.startswith("/"), F.concat(slashes, authority, F.lit("/"), path))
-        .when(authority != "", F.concat(slashes, authority, path))
-        .when(path.startswith("//"), F.concat(slashes, path))
-        .when(scheme.isin(*AUTHORITY_SCHEMES) & ((path == "") | path.startswith("/")), F.concat(slashes, path))
-        .otherwise(path)
+# Authority, path and query of what follows the scheme.
+URL_PARTS = r"^(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?"
+
+
+def _rebuilt_url(max_len: int) -> str:
+    """The URL named ``url``, taken apart and put together again."""
+    scheme = f"lower(regexp_extract(url, {lit(r'^([A-Za-z][A-Za-z0-9+.\-]*):')}, 1))"
+    rest = case(("scheme = ''", "url"), otherwise="substring(url, length(scheme) + 2)")
+    authority, path, query = (f"regexp_extract(rest, {lit(URL_PARTS)}, {group})" for group in (1, 2, 3))
+    body = case(
+        ("p.authority <> '' AND p.path <> '' AND NOT startswith(p.path, '/')", "concat('//', p.authority, '/', p.path)"),
+        ("p.authority <> ''", "concat('//', p.authority, p.path)"),
+        ("startswith(p.path, '//')", "concat('//', p.path)"),
+        (f"scheme IN ({lits(*AUTHORITY_SCHEMES)}) AND (p.path = '' OR startswith(p.path, '/'))", "concat('//', p.path)"),
+        otherwise="p.path",
+    )
+    full = concat(
+        "CASE WHEN scheme <> '' THEN concat(scheme, ':') ELSE '' END", body,
+        "CASE WHEN length(p.query) > 80 THEN concat('?', substring(p.query, 1, 80), '...') "
+        "WHEN p.query <> '' THEN concat('?', p.query) ELSE '' END",
     )
-    full = F.concat(
-        F.when(scheme != "", F.concat(scheme, F.lit(":"))).otherwise(F.lit("")),
-        body,
-        F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit("")),
+    # Unpaired or misplaced brackets, a bracketed host that is no address, or a wide ':' or '?'.
+    malformed = (
+        f"(p.authority RLIKE {lit(r'[\[\]]')} AND NOT p.authority RLIKE {lit(BRACKETED_HOST)}) OR p.authority RLIKE '[：？]'"
     )
-    return F.substring(F.when(_malformed_authority(authority), url).otherwise(full), 1, max_len)
+    parts = f"named_struct('authority', lower({authority}), 'path', substring({path}, 1, 140), 'query', {query})"
+    rebuilt = f"substring({case((malformed, 'url'), otherwise=full)}, 1, {max_len})"
+    return let("scheme", scheme, let("rest", rest, let("p", parts, rebuilt)))
 
 
-def attack_id(text: Column) -> Column:
+def attack_id(text: str) -> str:
     """Upper-case technique id, '' if empty, NULL if it is not of the form T1234 or T1234.567."""
-    name = F.upper(sanitize(text, 16, redact=False))
-    return F.when((name == "") | name.rlike(ATTACK_ID), name)
+    return let("tid", f"upper({sanitize(text, 16, redact=False)})",
+               case((f"tid = '' OR tid RLIKE {lit(ATTACK_ID)}", "tid")))
 
 
-def is_hash(text: Column) -> Column:
-    return text.rlike(HASH)
+def is_hash(text: str) -> str:
+    return f"({text} RLIKE {lit(HASH)})"

@@ -1,4 +1,4 @@
-"""Guards and conversions for VARIANT columns.
+"""Guards and conversions for VARIANT values (SQL expression -> SQL expression).
 
 Report and reply documents have no fixed schema: any key may be missing and any node may hold the wrong type.  The guard
 used everywhere is one ``try_variant_get(doc, path, <typed schema>)`` per area.  Casting a VARIANT to a struct or an array
@@ -8,10 +8,24 @@ positions stay as they were in the document.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from triagelake.functions.pyformat import record_text, spaced_json
+from triagelake.functions.sql import array, case, let, lit, lits
+
+ANY_LIST = "array<variant>"
+
+# The characters Unicode counts as white space.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    + "".join(map(chr, range(0x2000, 0x200B)))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
+
+# Decimal number text: digits may be grouped by single underscores.
+_DIGITS = "[0-9]+(?:_[0-9]+)*"
+NUMERIC_TEXT = rf"^[+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?$"
+
+# String forms of the VARIANT values that count as false, besides NULL and empty text.
+_FALSE_FORMS = lits("false", "0", "0.0", "-0.0", "[]", "{}")
 
 
 def struct_type(*fields: str, **typed: str) -> str:
@@ -24,168 +38,136 @@ def array_type(element: str) -> str:
     return f"array<{element}>"
 
 
-ANY_LIST = array_type("variant")
-
-
-def typed_at(doc: Column, path: str, ddl: str) -> Column:
+def typed_at(doc: str, path: str, ddl: str) -> str:
     """The node at ``path`` as ``ddl``, NULL where the node is missing or of another type."""
-    return F.try_variant_get(doc, path, ddl)
+    return f"try_variant_get({doc}, {lit(path)}, {lit(ddl)})"
 
 
-def as_list(value: Column) -> Column:
+def as_list(value: str) -> str:
     """A VARIANT as ARRAY<VARIANT>, NULL unless it is a list."""
-    return F.try_variant_get(value, "$", ANY_LIST)
+    return typed_at(value, "$", ANY_LIST)
 
 
-def is_record(value: Column) -> Column:
+def is_record(value: str) -> str:
     """True for a JSON object. The one-field struct cast looks up a single key, however large the object is."""
-    return F.try_variant_get(value, "$", "struct<a: variant>").isNotNull()
+    return f"({typed_at(value, '$', 'struct<a: variant>')} IS NOT NULL)"
 
 
-def kind(value: Column) -> Column:
-    return F.schema_of_variant(value)
+def kind(value: str) -> str:
+    return f"schema_of_variant({value})"
 
 
-def is_text(value: Column) -> Column:
-    return F.coalesce(kind(value) == "STRING", F.lit(False))
+def is_text(value: str) -> str:
+    return f"({kind(value)} <=> 'STRING')"
 
 
-def as_integer(value: Column) -> Column:
-    """BIGINT for JSON integers and booleans (1/0), NULL for everything else, fractions like 5.0 included."""
-    return F.when(kind(value).isin("BIGINT", "BOOLEAN"), F.try_variant_get(value, "$", "bigint"))
-
-
-# String forms of the VARIANT values that count as false, besides NULL and empty text.
-_FALSE_FORMS = ("false", "0", "0.0", "-0.0", "[]", "{}")
+def plain_text(value: str) -> str:
+    """The VARIANT cast to text: scalars as they are, records as compact JSON."""
+    return typed_at(value, "$", "string")
 
 
-def plain_text(value: Column) -> Column:
-    """The VARIANT cast to text: scalars as they are, records as compact JSON."""
-    return F.try_variant_get(value, "$", "string")
+def as_integer(value: str) -> str:
+    """BIGINT for JSON integers and booleans (1/0), NULL for everything else, fractions like 5.0 included."""
+    return case((f"{kind(value)} IN ('BIGINT', 'BOOLEAN')", typed_at(value, "$", "bigint")))
 
 
-def truthy(value: Column) -> Column:
+def truthy(value: str) -> str:
     """False for NULL, JSON null, false, zero, and empty text, lists and objects."""
     text = plain_text(value)
-    return F.coalesce(F.when(kind(value) == "STRING", text != "").otherwise(~text.isin(*_FALSE_FORMS)), F.lit(False))
+    test = case((f"{kind(value)} = 'STRING'", f"{text} <> ''"), otherwise=f"{text} NOT IN ({_FALSE_FORMS})")
+    return f"coalesce({test}, false)"
 
 
-def first_truthy(first: Column, second: Column) -> Column:
-    return F.when(truthy(first), first).otherwise(second)
+def first_truthy(first: str, second: str) -> str:
+    return case((truthy(first), first), otherwise=second)
 
 
-def _with_fraction(value: Column) -> Column:
+def _with_fraction(value: str) -> str:
     """Plain text in which 1.0, stored as a whole decimal, has its fraction back; longer digit runs are integers."""
     text = plain_text(value)
-    whole = kind(value).startswith("DECIMAL") & ~text.contains(".") & (F.length(text) < 19)
-    return F.when(whole, F.concat(text, F.lit(".0"))).otherwise(text)
+    whole = f"{kind(value)} LIKE 'DECIMAL%' AND NOT contains({text}, '.') AND length({text}) < 19"
+    return case((whole, f"concat({text}, '.0')"), otherwise=text)
 
 
-def display_text(value: Column, document_text: Column | None = None) -> Column:
+def display_text(value: str, document_text: str | None = None) -> str:
     """Text of a VARIANT as analysts see it: '' for falsy values, True for true, 1.0 for 1.0, records in full.
 
-    ``document_text`` is the JSON text of the value where its key order is known; VARIANT itself sorts keys.  Pass an array
-    element: ``value`` is used several times, which is free for a lambda variable and costly for a computed column.
+    ``document_text`` is the JSON text of the value where its key order is known; VARIANT itself sorts keys.  Pass a name:
+    ``value`` is used several times, which is free for a lambda variable and costly for a computed expression.
     """
     text = plain_text(value)
     shape = kind(value)
     known = _with_fraction(value)
     if document_text is not None:
-        known = F.when(shape.startswith("OBJECT") | shape.startswith("ARRAY"), document_text).otherwise(known)
-    return (
-        F.when(shape == "STRING", text)
-        .when(text.isNull() | text.isin(*_FALSE_FORMS), F.lit(""))
-        .when(shape == "BIGINT", text)
-        .otherwise(record_text(known))
+        known = case((f"{shape} LIKE 'OBJECT%' OR {shape} LIKE 'ARRAY%'", document_text), otherwise=known)
+    return case(
+        (f"{shape} = 'STRING'", text),
+        (f"{text} IS NULL OR {text} IN ({_FALSE_FORMS})", "''"),
+        (f"{shape} = 'BIGINT'", text),
+        otherwise=record_text(known),
     )
 
 
-def display_texts(values: Column) -> Column:
+def display_texts(values: str) -> str:
     """``display_text`` of each element of an ARRAY<VARIANT>."""
-    return F.transform(values, lambda v: display_text(v))
+    return f"transform({values}, dv -> {display_text('dv')})"
 
 
-def display_text_lists(*lists: Column) -> Column:
+def display_text_lists(*lists: str) -> str:
     """``display_texts`` of several lists as one ARRAY<ARRAY<STRING>>, which keeps the expression small."""
-    return F.transform(F.array(*lists), display_texts)
+    return f"transform({array(*lists)}, dl -> {display_texts('dl')})"
 
 
-def json_fragment(value: Column) -> Column:
+def json_fragment(value: str) -> str:
     """JSON text of a VARIANT with spaces as in prompts; NULL and JSON null give ``null``."""
-    return F.when(value.isNull() | F.is_variant_null(value), F.lit("null")).otherwise(
-        spaced_json(F.when(kind(value).startswith("DECIMAL"), _with_fraction(value)).otherwise(F.to_json(value)))
-    )
-
-
-def confidence(value: Column) -> Column:
-    """Clamp a VARIANT number, boolean or numeric text into [0, 1]; everything else gives 0."""
-    text = F.btrim(F.try_variant_get(value, "$", "string"), F.lit(WHITESPACE))
-    number = (
-        F.when(kind(value) != "STRING", F.try_variant_get(value, "$", "double"))
-        .when(text.rlike(NUMERIC_TEXT), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
-        .when(text.rlike("(?i)^[+-]?nan$"), F.lit(float("nan")))
-        .when(text.rlike(r"(?i)^\+?inf(inity)?$"), F.lit(1.0))
-    )
-    return clamp_unit(number)
+    text = case((f"{kind(value)} LIKE 'DECIMAL%'", _with_fraction(value)), otherwise=f"to_json({value})")
+    return case((f"{value} IS NULL OR is_variant_null({value})", "'null'"), otherwise=spaced_json(text))
 
 
-def clamp_unit(number: Column) -> Column:
+def clamp_unit(number: str) -> str:
     """Clamp a DOUBLE into [0, 1]; NULL gives 0 and NaN stays NaN."""
-    return (
-        F.when(number.isNull(), F.lit(0.0))
-        .when(F.isnan(number), number)
-        .when(number < 0, F.lit(0.0))
-        .when(number > 1, F.lit(1.0))
-        .otherwise(number)
-    )
+    return let("cu", number, case(
+        ("cu IS NULL OR cu < 0", "0D"), ("isnan(cu)", "cu"), ("cu > 1", "1D"), otherwise="cu",
+    ))
 
 
-# The characters Unicode counts as white space.
-WHITESPACE = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
-    + "".join(map(chr, range(0x2000, 0x200B)))
-    + "\u2028\u2029\u202f\u205f\u3000"
-)
-
-# Decimal number text: digits may be grouped by single underscores.
-_DIGITS = "[0-9]+(?:_[0-9]+)*"
-NUMERIC_TEXT = rf"^[+-]?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?$"
+def confidence(value: str) -> str:
+    """Clamp a VARIANT number, boolean or numeric text into [0, 1]; everything else gives 0."""
+    number = let("ct", strip(plain_text(value)), case(
+        (f"{kind(value)} <> 'STRING'", typed_at(value, "$", "double")),
+        (f"ct RLIKE {lit(NUMERIC_TEXT)}", "try_cast(replace(ct, '_', '') AS double)"),
+        ("lower(ct) IN ('nan', '+nan', '-nan')", "double('NaN')"),
+        ("lower(ct) IN ('inf', '+inf', 'infinity', '+infinity')", "1D"),
+    ))
+    return clamp_unit(number)
 
 
-def strip(text: Column) -> Column:
+def strip(text: str) -> str:
     """Remove Unicode white space from both ends, in linear time also for long inner runs."""
-    return F.btrim(text, F.lit(WHITESPACE))
+    return f"btrim({text}, {lit(WHITESPACE)})"
 
 
-def wrapped_json(text: Column) -> Column:
+def wrapped_json(text: str) -> str:
     """Strict parse: the VARIANT if ``text`` is exactly one JSON value, else NULL.
 
     Spark's parser ignores text after the first value.  So the text is parsed as the first element of a list whose second
     element is the text's own checksum: the checksum is found there only if the text is one complete value.
     """
-    checksum = F.md5(text)
-    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), checksum, F.lit('"]')))
-    pair = F.struct(listed.alias("list"), checksum.alias("checksum"))
-    return F.element_at(F.transform(F.array(pair), _first_if_closed), 1)
-
+    listed = f"""try_parse_json(concat('[', {text}, ',"', md5({text}), '"]'))"""
+    closed = f"{typed_at('wj', '$[1]', 'string')} = md5({text})"
+    return let("wj", listed, case((closed, typed_at("wj", "$[0]", "variant"))))
 
-def _first_if_closed(pair: Column) -> Column:
-    closed = F.try_variant_get(pair["list"], "$[1]", "string") == pair["checksum"]
-    return F.when(closed, F.try_variant_get(pair["list"], "$[0]", "variant"))
 
-
-def named_numbers(text: Column) -> Column:
+def named_numbers(text: str) -> str:
     """Quote bare NaN and Infinity values so that a document using them still parses."""
-    spelled = [("NaN", "nan"), ("-Infinity", "-inf"), ("Infinity", "inf")]
-    for literal, quoted in spelled:
-        text = F.regexp_replace(text, rf"(?<=[\[,:\s]){literal}(?=\s*(?:[,\]}}]|$))", f'"{quoted}"')
+    for literal, quoted in (("NaN", "nan"), ("-Infinity", "-inf"), ("Infinity", "inf")):
+        pattern = rf"(?<=[\[,:\s]){literal}(?=\s*(?:[,\]}}]|$))"
+        text = f"regexp_replace({text}, {lit(pattern)}, {lit(chr(34) + quoted + chr(34))})"
     return text
 
 
-def strict_json(text: Column) -> Column:
-    """``wrapped_json`` that also accepts the number names NaN, Infinity and -Infinity as values."""
-    return F.coalesce(
-        wrapped_json(text),
-        F.when(text.contains("NaN") | text.contains("Infinity"),
-               wrapped_json(named_numbers(F.concat(F.lit(" "), text)))),
-    )
+def strict_json(text: str) -> str:
+    """``wrapped_json`` that also accepts the number names NaN, Infinity and -Infinity as values.  Pass a column name."""
+    named = let("nn", named_numbers(f"concat(' ', {text})"), wrapped_json("nn"))
+    spelled = f"contains({text}, 'NaN') OR contains({text}, 'Infinity')"
+    return f"coalesce({wrapped_json(text)}, {case((spelled, named))})"

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from triagelake.functions.lists import or_empty, sanitize_texts, sorted_distinct
+from triagelake.functions.sql import array, case, let, lit, lits, struct
 from triagelake.functions.text import attack_id, sanitize, severity_label
 from triagelake.functions.variants import (
     ANY_LIST,
@@ -21,6 +22,7 @@ from triagelake.functions.variants import (
     strip,
     struct_type,
     truthy,
+    typed_at,
 )
 from triagelake.operators.evidence import IOC_KINDS
 from triagelake.operators.responses import BROKEN, FAILED, OK
@@ -81,100 +83,90 @@ REPLY = struct_type(
 )
 
 
-def json_blob(content: Column) -> Column:
+def json_blob(content: str) -> str:
     """The part of a reply that should be the JSON object.
 
     The first fenced block counts, else the whole text; within it, everything from the first ``{`` to the last ``}``, or all
     of it without such a pair.  Positions are found by ``locate``, in linear time whatever the text holds.
     """
-    fence = r"(?is)```(?:json)?(.*?)```"
-    text = strip(content)
-    inner = F.when(text.rlike(fence), strip(F.regexp_extract(text, fence, 1))).otherwise(text)
-    return F.element_at(F.transform(F.array(inner), _braced), 1)
+    fence = lit(r"(?is)```(?:json)?(.*?)```")
+    inner = let("whole", strip(content), case(
+        (f"whole RLIKE {fence}", strip(f"regexp_extract(whole, {fence}, 1)")), otherwise="whole",
+    ))
+    span = "named_struct('first', locate('{', part), 'last', length(part) - locate('}', reverse(part)) + 1)"
+    braced = case(
+        ("s.first > 0 AND contains(part, '}') AND s.last > s.first", "substring(part, s.first, s.last - s.first + 1)"),
+        otherwise="part",
+    )
+    return let("part", inner, let("s", span, braced))
 
 
-def _braced(text: Column) -> Column:
-    first = F.locate("{", text)
-    last = F.length(text) - F.locate("}", F.reverse(text)) + 1
-    found = (first > 0) & text.contains("}") & (last > first)
-    return F.when(found, F.substring(text, first, last - first + 1)).otherwise(text)
+Built = Callable[[str, str], dict[str, str]]
 
 
-def _entry_list(
-    values: Column, texts: dict[str, int | None], raw: tuple[str, ...], build: Any, order: tuple[str, ...]
-) -> Column:
+def _entries_of(
+    values: str, texts: dict[str, int | None], raw: tuple[str, ...], build: Built, order: tuple[str, ...]
+) -> str:
     """Records of a list: ``texts`` become sanitised text of the given length, ``build`` makes the other fields.
 
     Entries that are no records are dropped first.  Texts and evidence ids are converted in one step and named, so that
     later steps may use them more than once.
     """
-    kept = F.filter(values, lambda v: v.isNotNull())
-    shown = F.transform(
-        kept,
-        lambda v: F.struct(
-            *(v[name].alias(name) for name in raw),
-            display_text_lists(F.array(*(v[name] for name in texts)), v["evidence_ids"]).alias("texts"),
-        ),
+    shown = struct(
+        **{name: f"v.{name}" for name in raw},
+        texts=display_text_lists(array(*(f"v.{name}" for name in texts)), "v.evidence_ids"),
     )
+    fields = {
+        name: f"v.texts[0][{at}]" if size is None else sanitize(f"v.texts[0][{at}]", size, redact=False)
+        for at, (name, size) in enumerate(texts.items())
+    }
+    fields = {**fields, **build("v", "i"), "evidence_ids": sanitize_texts("v.texts[1]", 60, redact=False)}
+    entry = struct(**{name: fields[name] for name in order})
+    kept = f"filter({values}, v -> v IS NOT NULL)"
+    return f"transform(transform({kept}, v -> {shown}), (v, i) -> {entry})"
 
-    def entry(v: Column, i: Column) -> Column:
-        cleaned = {
-            name: v["texts"][0][at] if size is None else sanitize(v["texts"][0][at], size, redact=False)
-            for at, (name, size) in enumerate(texts.items())
-        }
-        ids = sanitize_texts(v["texts"][1], 60, redact=False)
-        fields = {**cleaned, **build(v, i, cleaned), "evidence_ids": ids}
-        return F.struct(*(fields[name].alias(name) for name in order))
 
-    return F.transform(shown, entry)
+def _confidence(v: str, i: str) -> dict[str, str]:
+    return {"confidence": confidence(f"{v}.confidence")}
 
 
-def _families(values: Column) -> Column:
-    return _entry_list(
-        values, {"name": 80, "reason": 180}, ("confidence",),
-        lambda v, i, _: {"confidence": confidence(v["confidence"])},
-        ("name", "confidence", "reason", "evidence_ids"),
-    )
+def _families(values: str) -> str:
+    return or_empty(_entries_of(
+        values, {"name": 80, "reason": 180}, ("confidence",), _confidence, ("name", "confidence", "reason", "evidence_ids")
+    ))
 
 
-def _facts(values: Column) -> Column:
-    return _entry_list(
-        values, {"title": 120, "summary": 220}, (), lambda v, i, _: {}, ("title", "summary", "evidence_ids")
-    )
-
+def _facts(values: str) -> str:
+    return or_empty(_entries_of(
+        values, {"title": 120, "summary": 220}, (), lambda v, i: {}, ("title", "summary", "evidence_ids")
+    ))
 
-def _flow(values: Column) -> Column:
-    def step(v: Column, i: Column, _: Any) -> dict[str, Column]:
-        return {"step": F.coalesce(F.nullif(as_integer(v["step"]), F.lit(0).cast("bigint")), (i + 1).cast("bigint"))}
 
-    return _entry_list(
-        values, {"title": 120, "details": 220}, ("step",), step, ("step", "title", "details", "evidence_ids")
-    )
+def _flow(values: str) -> str:
+    """Steps keep a stated non-zero number, else take their position among the kept entries."""
+    return or_empty(_entries_of(
+        values, {"title": 120, "details": 220}, ("step",),
+        lambda v, i: {"step": f"coalesce(nullif({as_integer(f'{v}.step')}, 0L), bigint({i} + 1))"},
+        ("step", "title", "details", "evidence_ids"),
+    ))
 
 
-def _findings(values: Column) -> Column:
-    return _entry_list(
+def _findings(values: str) -> str:
+    return or_empty(_entries_of(
         values, {"title": 120, "why_it_matters": 220, "severity": None}, (),
-        lambda v, i, cleaned: {"severity": severity_label(cleaned["severity"])},
+        lambda v, i: {"severity": severity_label(f"{v}.texts[0][2]")},
         ("title", "severity", "why_it_matters", "evidence_ids"),
-    )
+    ))
 
 
-def _techniques(values: Column) -> Column:
-    entries = _entry_list(
+def _techniques(values: str) -> str:
+    """Techniques whose id is empty or well formed."""
+    entries = _entries_of(
         values, {"id": None, "name": 80, "reason": 180}, ("confidence",),
-        lambda v, i, cleaned: {"id": attack_id(cleaned["id"]), "confidence": confidence(v["confidence"])},
+        lambda v, i: {"id": attack_id(f"{v}.texts[0][0]"), **_confidence(v, i)},
         ("id", "name", "confidence", "reason", "evidence_ids"),
     )
-    return F.filter(entries, lambda t: t["id"].isNotNull())
-
-
-def _list_struct(record: str, names: tuple[str, ...], size: int, ordered: bool) -> Column:
-    def one(at: int) -> Column:
-        values = sanitize_texts(F.col(record)[at], size, redact=False)
-        return sorted_distinct(values) if ordered else values
-
-    return F.struct(*(one(at).alias(name) for at, name in enumerate(names)))
+    return or_empty(f"filter({entries}, t -> t.id IS NOT NULL)")
 
 
 def validate_replies(rows: DataFrame, metadata: Mapping[str, str] | None = None) -> DataFrame:
@@ -182,93 +174,75 @@ def validate_replies(rows: DataFrame, metadata: Mapping[str, str] | None = None)
 
     ``metadata`` (provider, model, prompt_version) overrides what a reply claims about itself; without it the claims stand.
     """
-    blobs = rows.select(
-        "task_id", "outcome", "error", F.when(F.col("outcome") == OK, json_blob(F.col("content"))).alias("blob")
+    blobs = rows.selectExpr(
+        "task_id", "outcome", "error", f"{case((f'outcome = {lit(OK)}', json_blob('content')))} AS blob"
     )
-    parsed = blobs.select("task_id", "outcome", "error", strict_json(F.col("blob")).alias("doc"))
-    typed = parsed.select(
-        "task_id", "error",
-        F.when((F.col("outcome") == OK) & F.col("doc").isNull(), F.lit("invalid")).otherwise(F.col("outcome")).alias("outcome"),
-        F.try_variant_get("doc", "$", REPLY).alias("reply"),
+    parsed = blobs.selectExpr("task_id", "outcome", "error", f"{strict_json('blob')} AS doc")
+    outcome = case((f"outcome = {lit(OK)} AND doc IS NULL", "'invalid'"), otherwise="outcome")
+    typed = parsed.selectExpr("task_id", "error", f"{outcome} AS outcome", f"{typed_at('doc', '$', REPLY)} AS reply")
+    heads = array(
+        "reply.status", "reply.error_type", "reply.message", "reply.verdict.severity",
+        *(f"reply.model_metadata.{name}" for name in METADATA),
     )
-    reply = F.col("reply")
-    texts = typed.withColumns({
-        "heads": display_texts(F.array(*(
-            reply[name] for name in ("status", "error_type", "message")
-        ), reply["verdict"]["severity"], *(reply["model_metadata"][name] for name in METADATA))),
-        "labels": display_text_lists(
-            reply["verdict"]["category"], reply["uncertainties"],
-            *(reply["iocs"][kind] for kind in IOC_KINDS), *(reply["analyst_actions"][team] for team in TEAMS),
+    iocs = [f"reply.iocs.{kind}" for kind in IOC_KINDS]
+    actions = [f"reply.analyst_actions.{team}" for team in TEAMS]
+    labels = display_text_lists("reply.verdict.category", "reply.uncertainties", *iocs, *actions)
+    texts = typed.selectExpr("*", f"{display_texts(heads)} AS heads", f"{labels} AS labels")
+
+    def head(at: int, size: int) -> str:
+        return sanitize(f"heads[{at}]", size, redact=False)
+
+    def label(at: int, size: int) -> str:
+        return sanitize_texts(f"labels[{at}]", size, redact=False)
+
+    ok = f"outcome = {lit(OK)}"
+    stated = {name: lit(str(metadata[name])) for name in METADATA if metadata and name in metadata}
+    columns = {
+        "status": case((f"NOT {ok}", "'error'"), otherwise=f"coalesce(nullif({head(0, 16)}, ''), 'ok')"),
+        "error_type": case((ok, head(1, 48)), *_errors(0), otherwise=lit(MODULE_EXCEPTION[0])),
+        "message": case((ok, head(2, 200)), *_errors(1), otherwise=lit(MODULE_EXCEPTION[1])),
+        "verdict": struct(
+            is_malicious=truthy("reply.verdict.is_malicious"),
+            confidence=confidence("reply.verdict.confidence"),
+            severity=severity_label("heads[3]"),
+            category=label(0, 60),
+            family_hypotheses=_families("reply.verdict.family_hypotheses"),
         ),
-    }).withColumns({
-        "ioc_texts": F.slice("labels", 3, len(IOC_KINDS)),
-        "action_texts": F.slice("labels", 3 + len(IOC_KINDS), len(TEAMS)),
-    })
-    heads, labels = F.col("heads"), F.col("labels")
-    status = sanitize(heads[0], 16, redact=False)
-    ok = F.col("outcome") == OK
-    return texts.select(
-        "task_id",
-        F.when(~ok, F.lit("error")).when(status == "", F.lit("ok")).otherwise(status).alias("status"),
-        F.when(ok, sanitize(heads[1], 48, redact=False)).otherwise(_error_type()).alias("error_type"),
-        F.when(ok, sanitize(heads[2], 200, redact=False)).otherwise(_error_message()).alias("message"),
-        F.struct(
-            truthy(reply["verdict"]["is_malicious"]).alias("is_malicious"),
-            confidence(reply["verdict"]["confidence"]).alias("confidence"),
-            severity_label(heads[3]).alias("severity"),
-            sanitize_texts(labels[0], 60, redact=False).alias("category"),
-            _or_no_entries(_families(reply["verdict"]["family_hypotheses"])).alias("family_hypotheses"),
-        ).alias("verdict"),
-        _or_no_entries(_facts(reply["observed_facts"])).alias("observed_facts"),
-        _or_no_entries(_flow(reply["attack_flow"])).alias("attack_flow"),
-        _or_no_entries(_techniques(reply["ttps"])).alias("ttps"),
-        _list_struct("ioc_texts", IOC_KINDS, 280, ordered=True).alias("iocs"),
-        _or_no_entries(_findings(reply["key_findings"])).alias("key_findings"),
-        _list_struct("action_texts", TEAMS, 200, ordered=False).alias("analyst_actions"),
-        F.when(ok, sanitize_texts(labels[1], 220, redact=False)).otherwise(F.array(F.lit(DEGRADED))).alias("uncertainties"),
-        F.struct(*(
-            sanitize(
-                F.lit(str(metadata[name])) if metadata and name in metadata else heads[4 + at], size, redact=False
-            ).alias(name)
+        "observed_facts": _facts("reply.observed_facts"),
+        "attack_flow": _flow("reply.attack_flow"),
+        "ttps": _techniques("reply.ttps"),
+        "iocs": struct(**{kind: sorted_distinct(label(2 + at, 280)) for at, kind in enumerate(IOC_KINDS)}),
+        "key_findings": _findings("reply.key_findings"),
+        "analyst_actions": struct(**{team: label(2 + len(IOC_KINDS) + at, 200) for at, team in enumerate(TEAMS)}),
+        "uncertainties": case((ok, label(1, 220)), otherwise=f"array({lits(DEGRADED)})"),
+        "model_metadata": struct(**{
+            name: sanitize(stated.get(name, f"heads[{4 + at}]"), size, redact=False)
             for at, (name, size) in enumerate(METADATA.items())
-        )).alias("model_metadata"),
-    )
-
-
-def _or_no_entries(values: Column) -> Column:
-    return F.coalesce(values, F.array())
-
-
-def _error_type() -> Column:
-    outcome = F.col("outcome")
-    return (
-        F.when(outcome == "invalid", F.lit(INVALID_JSON[0]))
-        .when(outcome == FAILED, F.lit(CALL_FAILED[0]))
-        .otherwise(F.lit(MODULE_EXCEPTION[0]))
-    )
+        }),
+    }
+    return texts.selectExpr("task_id", *(f"{columns[name]} AS {name}" for name in ASSESSMENT_COLUMNS))
 
 
-def _error_message() -> Column:
-    outcome = F.col("outcome")
-    return (
-        F.when(outcome == "invalid", F.lit(INVALID_JSON[1]))
-        .when(outcome == FAILED, sanitize(F.concat(F.lit(CALL_FAILED[1]), F.col("error")), 180, redact=False))
-        .otherwise(F.lit(MODULE_EXCEPTION[1]))
-    )
+def _errors(part: int) -> list[tuple[str, str]]:
+    """Type (0) or message (1) of the errors that have a known cause."""
+    failed = (lit(CALL_FAILED[0]), sanitize(f"concat({lit(CALL_FAILED[1])}, error)", 180, redact=False))
+    return [("outcome = 'invalid'", lit(INVALID_JSON[part])), (f"outcome = {lit(FAILED)}", failed[part])]
 
 
 def parse_replies(contents: DataFrame, metadata: Mapping[str, str] | None = None) -> DataFrame:
     """Assessment of plain reply texts: ``task_id, content``, without an envelope around them."""
-    rows = contents.select("task_id", F.lit(OK).alias("outcome"), F.lit("").alias("error"), F.coalesce("content", F.lit("")).alias("content"))
+    rows = contents.selectExpr("task_id", f"{lit(OK)} AS outcome", "'' AS error", "coalesce(content, '') AS content")
     return validate_replies(rows, metadata)
 
 
-def error_assessments(tasks: DataFrame, error_type: str, message: str, metadata: Mapping[str, str] | None = None) -> DataFrame:
+def error_assessments(
+    tasks: DataFrame, error_type: str, message: str, metadata: Mapping[str, str] | None = None
+) -> DataFrame:
     """The same error assessment for every task."""
-    rows = tasks.select("task_id", F.lit(BROKEN).alias("outcome"), F.lit("").alias("error"), F.lit("").alias("content"))
+    rows = tasks.selectExpr("task_id", f"{lit(BROKEN)} AS outcome", "'' AS error", "'' AS content")
     return validate_replies(rows, metadata).withColumns({
-        "error_type": sanitize(F.lit(error_type), 48, redact=False),
-        "message": sanitize(F.lit(message), 180, redact=False),
+        "error_type": F.expr(sanitize(lit(error_type), 48, redact=False)),
+        "message": F.expr(sanitize(lit(message), 180, redact=False)),
     })
 
 
@@ -280,10 +254,8 @@ def assessment_json(assessments: DataFrame) -> DataFrame:
 
 def spread_entries(assessments: DataFrame, column: str, fields: tuple[str, ...]) -> DataFrame:
     """One row per entry of a list column of the assessment."""
-    rows = exploded(assessments, F.col(column), "pos", "item")
-    return rows.select("task_id", "pos", *(
-        F.array_join(f"item.{name}", "|").alias(name) if name == "evidence_ids" else F.col(f"item.{name}").alias(name)
-        for name in fields
+    return exploded(assessments, column).selectExpr("task_id", "pos", *(
+        f"array_join(item.{name}, '|') AS {name}" if name == "evidence_ids" else f"item.{name}" for name in fields
     ))
 
 

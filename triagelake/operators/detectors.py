@@ -6,12 +6,10 @@ single spaces, so a phrase may run across two entries.
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from triagelake.functions.lists import numbered
+from triagelake.functions.sql import case, lit, lits, struct
 
 # Binaries of the operating system that attackers like to run.
 SYSTEM_BINARIES = (
@@ -56,70 +54,50 @@ KEYWORD_RULES = {
 INJECTION_FINDING = ("Process injection-like activity", "critical", "Injection-related APIs observed")
 SYSTEM_BINARY_FINDING = ("LOLBins execution", "medium", "Potentially abused built-in binary executed")
 
-RISK_ROW = "struct<title: string, severity: string, reason: string, evidence_ref: string>"
-
 
-def _finding(title: str, severity: str, reason: str, evidence_ref: Column) -> Column:
-    return F.struct(
-        F.lit(title).alias("title"),
-        F.lit(severity).alias("severity"),
-        F.lit(reason).alias("reason"),
-        evidence_ref.alias("evidence_ref"),
-    )
+def _finding(title: str, severity: str, reason: str, evidence_ref: str) -> str:
+    return struct(title=lit(title), severity=lit(severity), reason=lit(reason), evidence_ref=evidence_ref)
 
 
-def _when(condition: Column, finding: Column) -> Column:
-    return F.when(condition, F.array(finding)).otherwise(F.array().cast(f"array<{RISK_ROW}>"))
+def joined_text(values: str) -> str:
+    return f"lower(array_join({values}, ' '))"
 
 
-def mentions_any(joined_text: Column, words: tuple[str, ...]) -> Column:
+def mentions_any(text: str, words: tuple[str, ...]) -> str:
     """True if the lower-case text of a list holds any of the words."""
-    return reduce(lambda a, b: a | b, (joined_text.contains(word) for word in words))
-
+    return " OR ".join(f"contains({text}, {lit(word)})" for word in words)
 
-def joined_text(values: Column) -> Column:
-    return F.lower(F.array_join(values, " "))
 
-
-def keyword_findings(rule: str) -> Column:
+def keyword_findings(rule: str) -> str:
     """Zero or one finding of a keyword rule; reads the columns ``text_<list>`` made by ``risk_indicators``."""
     spec = KEYWORD_RULES[rule]
-    hit = reduce(
-        lambda a, b: a | b, (mentions_any(F.col(f"text_{name}"), words) for name, words in spec["words"].items())
-    )
+    hit = " OR ".join(mentions_any(f"text_{name}", words) for name, words in spec["words"].items())
     if rule == "ransomware":
-        hit = hit | (F.size("behavior_summary.files") > BULK_FILES)
+        hit += f" OR size(behavior_summary.files) > {BULK_FILES}"
     title, severity, reason, ref = spec["finding"]
-    return _when(hit, _finding(title, severity, reason, F.lit(ref)))
+    return case((hit, f"array({_finding(title, severity, reason, lit(ref))})"), otherwise="array()")
 
 
-def injection_findings() -> Column:
+def injection_findings() -> str:
     """One finding for the first process that calls an injection API, matched as a whole name in any case."""
-    apis = F.array(*(F.lit(name) for name in INJECTION_APIS))
-    hits = F.filter(
-        F.col("process_highlights"),
-        lambda p: F.arrays_overlap(F.transform(p["suspicious_api_calls"], lambda a: F.lower(a)), apis),
-    )
-    return F.transform(F.slice(hits, 1, 1), lambda p: _finding(*INJECTION_FINDING, F.substring(p["id"], 1, 60)))
+    called = f"exists(p.suspicious_api_calls, a -> lower(a) IN ({lits(*INJECTION_APIS)}))"
+    first = f"slice(filter(process_highlights, p -> {called}), 1, 1)"
+    return f"transform({first}, p -> {_finding(*INJECTION_FINDING, 'substring(p.id, 1, 60)')})"
 
 
-def system_binary_findings() -> Column:
+def system_binary_findings() -> str:
     """One finding per process whose name is a known system binary."""
-    hits = F.filter(F.col("process_highlights"), lambda p: F.lower(p["process_name"]).isin(*SYSTEM_BINARIES))
-    return F.transform(hits, lambda p: _finding(*SYSTEM_BINARY_FINDING, F.substring(p["id"], 1, 60)))
+    hits = f"filter(process_highlights, p -> lower(p.process_name) IN ({lits(*SYSTEM_BINARIES)}))"
+    return f"transform({hits}, p -> {_finding(*SYSTEM_BINARY_FINDING, 'substring(p.id, 1, 60)')})"
 
 
 def risk_indicators(evidence: DataFrame) -> DataFrame:
     """Add the numbered findings of all rules, in rule order."""
-    texts = evidence.withColumns({
-        f"text_{name}": joined_text(F.col(f"behavior_summary.{name}")) for name in ("keys", "executed_commands")
-    })
-    findings = F.concat(*(keyword_findings(rule) for rule in KEYWORD_RULES), injection_findings(), system_binary_findings())
-    numbered_findings = F.transform(
-        findings,
-        lambda r, i: F.struct(
-            *(r[name].alias(name) for name in ("title", "severity", "reason", "evidence_ref")),
-            numbered("risk_", i).alias("id"),
-        ),
+    texts = evidence.selectExpr(
+        "*", *(f"{joined_text(f'behavior_summary.{name}')} AS text_{name}" for name in ("keys", "executed_commands"))
     )
-    return texts.withColumn("risk_indicators", numbered_findings).drop("text_keys", "text_executed_commands")
+    findings = ", ".join([*map(keyword_findings, KEYWORD_RULES), injection_findings(), system_binary_findings()])
+    fields = ("title", "severity", "reason", "evidence_ref")
+    row = struct(**{name: f"r.{name}" for name in fields}, id=numbered("risk_", "i"))
+    numbered_findings = f"transform(concat({findings}), (r, i) -> {row})"
+    return texts.selectExpr("*", f"{numbered_findings} AS risk_indicators").drop("text_keys", "text_executed_commands")

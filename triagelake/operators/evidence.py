@@ -6,8 +6,7 @@ a query that needs only one area prunes the others, and every list is cut before
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from triagelake.functions.lists import (
     dedupe_first_seen,
@@ -19,6 +18,7 @@ from triagelake.functions.lists import (
     sorted_distinct,
 )
 from triagelake.functions.pyformat import spaced_json
+from triagelake.functions.sql import array, case, lits, struct
 from triagelake.functions.text import canonical_domain, canonical_ip, canonical_url, is_hash, sanitize
 from triagelake.functions.variants import (
     ANY_LIST,
@@ -83,179 +83,162 @@ ORDERED_TEXT = (
 
 def _areas(reports: DataFrame) -> DataFrame:
     """Guarded view of each report area; a wrongly typed node is NULL."""
-    parsed = reports.select("task_id", "raw", F.try_parse_json("raw").alias("doc"))
-    doc = F.col("doc")
-    return parsed.select(
-        "task_id",
-        typed_at(doc, "$.info", struct_type("id", "category")).alias("info"),
-        typed_at(doc, "$.target", struct_type("category", file=struct_type(*FILE_FIELDS))).alias("target"),
-        typed_at(doc, "$.malscore", "variant").alias("malscore"),
-        typed_at(doc, "$.detections", "variant").alias("raw_detections"),
-        *(typed_at(doc, f"$.{key}", "variant").alias(f"config_{i}") for i, key in enumerate(CONFIG_KEYS)),
-        *(typed_at(doc, f"$.behavior.summary.{name}", ANY_LIST).alias(f"raw_{name}") for name in BEHAVIOR_LISTS),
-        typed_at(doc, "$.behavior.processes", array_type(PROCESS)).alias("raw_processes"),
-        typed_at(doc, "$.signatures", array_type(SIGNATURE)).alias("raw_signatures"),
-        typed_at(doc, "$.network.domains", array_type(struct_type("domain"))).alias("raw_domains"),
-        typed_at(doc, "$.network.hosts", array_type(struct_type("ip"))).alias("raw_hosts"),
-        typed_at(doc, "$.network.http", array_type(struct_type("uri", "url"))).alias("raw_requests"),
-        *(typed_at(doc, f"$.network.{name}", ANY_LIST).alias(f"raw_{name}") for name in TRAFFIC_LISTS),
-        F.from_json("raw", ORDERED_TEXT).alias("ordered"),
-        *(F.get_json_object("raw", f"$.{key}").alias(f"config_text_{i}") for i, key in enumerate(CONFIG_KEYS)),
-    )
+    file = struct_type(*FILE_FIELDS)
+    areas = {
+        "info": typed_at("doc", "$.info", struct_type("id", "category")),
+        "target": typed_at("doc", "$.target", struct_type("category", file=file)),
+        "malscore": typed_at("doc", "$.malscore", "variant"),
+        "raw_detections": typed_at("doc", "$.detections", "variant"),
+        **{f"config_{i}": typed_at("doc", f"$.{key}", "variant") for i, key in enumerate(CONFIG_KEYS)},
+        **{f"raw_{name}": typed_at("doc", f"$.behavior.summary.{name}", ANY_LIST) for name in BEHAVIOR_LISTS},
+        "raw_processes": typed_at("doc", "$.behavior.processes", array_type(PROCESS)),
+        "raw_signatures": typed_at("doc", "$.signatures", array_type(SIGNATURE)),
+        "raw_domains": typed_at("doc", "$.network.domains", array_type(struct_type("domain"))),
+        "raw_hosts": typed_at("doc", "$.network.hosts", array_type(struct_type("ip"))),
+        "raw_requests": typed_at("doc", "$.network.http", array_type(struct_type("uri", "url"))),
+        **{f"raw_{name}": typed_at("doc", f"$.network.{name}", ANY_LIST) for name in TRAFFIC_LISTS},
+        "ordered": f"from_json(raw, '{ORDERED_TEXT}')",
+        **{f"config_text_{i}": f"get_json_object(raw, '$.{key}')" for i, key in enumerate(CONFIG_KEYS)},
+    }
+    parsed = reports.selectExpr("task_id", "raw", "try_parse_json(raw) AS doc")
+    return parsed.selectExpr("task_id", *_named(areas))
 
 
-def _process(item: Column, at: Column, options: TriageOptions) -> Column:
-    texts = item["texts"]
-    return F.struct(
-        numbered("proc_", at).alias("id"),
-        sanitize(texts[0][0], 120, redact=False).alias("process_name"),
-        as_integer(item["process_id"]).alias("pid"),
-        or_empty(F.transform(texts[1], lambda api: sanitize(api, 80, redact=False))).alias("suspicious_api_calls"),
-        sanitize(texts[0][1], 220, options.redact_pii).alias("command_line"),
-    )
+def _named(expressions: dict[str, str]) -> list[str]:
+    return [f"{expression} AS {name}" for name, expression in expressions.items()]
 
 
-def _process_texts(item: Column) -> Column:
-    calls = first_n(F.filter(item["calls"], lambda c: truthy(c["api"])), API_LIMIT)
-    return F.struct(
-        item["process_id"].alias("process_id"),
-        display_text_lists(
-            F.array(item["process_name"], item["command_line"]), F.transform(calls, lambda c: c["api"])
-        ).alias("texts"),
-    )
+def _with(rows: DataFrame, **expressions: str) -> DataFrame:
+    return rows.selectExpr("*", *_named(expressions))
 
 
-def _signature(item: Column, at: Column, options: TriageOptions) -> Column:
-    texts = item["texts"]
-    return F.struct(
-        numbered("sig_", at).alias("id"),
-        sanitize(texts[0][0], 120, redact=False).alias("name"),
-        F.coalesce(item["severity"], F.parse_json(F.lit("1"))).alias("severity"),
-        sanitize(texts[0][1], 320, options.redact_pii).alias("description"),
-        sanitize_texts(texts[1], 80, False, 8).alias("families"),
-        sanitize_texts(texts[2], 30, False, 8).alias("ttp"),
+def _process_texts(item: str) -> str:
+    calls = first_n(f"filter({item}.calls, c -> {truthy('c.api')})", API_LIMIT)
+    return struct(
+        process_id=f"{item}.process_id",
+        texts=display_text_lists(
+            array(f"{item}.process_name", f"{item}.command_line"), f"transform({calls}, c -> c.api)"
+        ),
     )
 
 
-def _signature_texts(item: Column) -> Column:
-    techniques = as_list(first_truthy(item["ttp"], item["mitre"]))
-    return F.struct(
-        item["severity"].alias("severity"),
-        display_text_lists(F.array(item["name"], item["description"]), item["families"], techniques).alias("texts"),
+def _process(item: str, at: str, options: TriageOptions) -> str:
+    return struct(
+        id=numbered("proc_", at),
+        process_name=sanitize(f"{item}.texts[0][0]", 120, redact=False),
+        pid=as_integer(f"{item}.process_id"),
+        suspicious_api_calls=or_empty(f"transform({item}.texts[1], api -> {sanitize('api', 80, redact=False)})"),
+        command_line=sanitize(f"{item}.texts[0][1]", 220, options.redact_pii),
     )
 
 
-def _field(values: Column, name: str) -> Column:
-    """One field of each record that has it."""
-    return F.transform(F.filter(values, lambda v: truthy(v[name])), lambda v: v[name])
-
-
-def _network_values(texts: Column, limit: int) -> Column:
-    """Non-empty canonical values, cut before repeats are dropped."""
-    return or_empty(first_n(F.filter(texts, lambda t: t != ""), limit))
-
-
-def _indicators(values: Column) -> Column:
-    """Sorted distinct indicator values. The values are sanitised already, so only length and outer blanks can differ."""
-    return sorted_distinct(dedupe_first_seen(F.transform(values, lambda v: F.substring(F.trim(v), 1, 260))))
+def _signature_texts(item: str) -> str:
+    techniques = as_list(first_truthy(f"{item}.ttp", f"{item}.mitre"))
+    return struct(
+        severity=f"{item}.severity",
+        texts=display_text_lists(array(f"{item}.name", f"{item}.description"), f"{item}.families", techniques),
+    )
 
 
-def _records_only(value: Column, text: Column) -> Column:
-    """JSON text of an object in document order, ``{}`` for anything else."""
-    return F.when(is_record(value), spaced_json(text)).otherwise(F.lit("{}"))
+def _signature(item: str, at: str, options: TriageOptions) -> str:
+    return struct(
+        id=numbered("sig_", at),
+        name=sanitize(f"{item}.texts[0][0]", 120, redact=False),
+        severity=f"coalesce({item}.severity, parse_json('1'))",
+        description=sanitize(f"{item}.texts[0][1]", 320, options.redact_pii),
+        families=sanitize_texts(f"{item}.texts[1]", 80, False, 8),
+        ttp=sanitize_texts(f"{item}.texts[2]", 30, False, 8),
+    )
 
 
 def _behavior(areas: DataFrame, options: TriageOptions) -> DataFrame:
-    areas = areas.withColumn("behavior_texts", display_text_lists(*(F.col(f"raw_{name}") for name in BEHAVIOR_LISTS)))
-    lists = [
-        sanitize_texts(
-            F.col("behavior_texts")[at], size, redact and options.redact_pii, options.max_input_events
-        ).alias(name)
+    areas = _with(areas, behavior_texts=display_text_lists(*(f"raw_{name}" for name in BEHAVIOR_LISTS)))
+    return _with(areas, behavior_summary=struct(**{
+        name: sanitize_texts(f"behavior_texts[{at}]", size, redact and options.redact_pii, options.max_input_events)
         for at, (name, (size, redact)) in enumerate(BEHAVIOR_LISTS.items())
-    ]
-    return areas.withColumn("behavior_summary", F.struct(*lists))
+    }))
 
 
 def _processes(areas: DataFrame, options: TriageOptions) -> DataFrame:
     built = keep_numbered(
-        F.col("raw_processes"), _process_texts, lambda p, at: _process(p, at, options), options.max_processes
+        "raw_processes", _process_texts, lambda item, at: _process(item, at, options), options.max_processes
     )
-    empty = F.array().cast(
-        "array<struct<id: string, process_name: string, pid: bigint, suspicious_api_calls: array<string>, command_line: string>>"
-    )
-    return areas.withColumn("process_highlights", F.coalesce(built, empty))
+    return _with(areas, process_highlights=or_empty(built))
 
 
 def _signatures(areas: DataFrame, options: TriageOptions) -> DataFrame:
     built = keep_numbered(
-        F.col("raw_signatures"), _signature_texts, lambda s, at: _signature(s, at, options), options.max_signatures
-    )
-    empty = F.array().cast(
-        "array<struct<id: string, name: string, severity: variant, description: string, families: array<string>, ttp: array<string>>>"
+        "raw_signatures", _signature_texts, lambda item, at: _signature(item, at, options), options.max_signatures
     )
-    return areas.withColumn("signatures", F.coalesce(built, empty))
+    return _with(areas, signatures=or_empty(built))
+
+
+def _field(values: str, name: str) -> str:
+    """One field of each record that has it."""
+    return f"transform(filter({values}, r -> {truthy(f'r.{name}')}), r -> r.{name})"
+
+
+def _indicators(values: str, limit: int) -> str:
+    """Sorted distinct indicators of canonical network values, which are cut before repeats are dropped.
+
+    The values are sanitised already, so only length and outer blanks can differ from the stored indicator.
+    """
+    kept = or_empty(first_n(f"filter({values}, nv -> nv <> '')", limit))
+    return sorted_distinct(dedupe_first_seen(f"transform({kept}, nv -> substring(trim(nv), 1, 260))"))
 
 
 def _iocs(areas: DataFrame, options: TriageOptions) -> DataFrame:
     limit = options.max_network_artifacts
-    requests = F.filter(F.col("raw_requests"), lambda r: r.isNotNull())
-    areas = areas.withColumns({
-        "file_texts": display_texts(F.array(*(F.col(f"target.file.{name}") for name in FILE_FIELDS))),
-        "network_texts": display_text_lists(
-            _field(F.col("raw_domains"), "domain"),
-            _field(F.col("raw_hosts"), "ip"),
-            F.transform(requests, lambda r: first_truthy(r["uri"], r["url"])),
-        ),
-    })
-    domains, ips, urls = (
-        F.transform(F.col("network_texts")[at], canonical)
-        for at, canonical in enumerate((canonical_domain, canonical_ip, canonical_url))
+    urls = f"transform(filter(raw_requests, r -> r IS NOT NULL), r -> {first_truthy('r.uri', 'r.url')})"
+    areas = _with(
+        areas,
+        file_texts=display_texts(array(*(f"target.file.{name}" for name in FILE_FIELDS))),
+        network_texts=display_text_lists(_field("raw_domains", "domain"), _field("raw_hosts", "ip"), urls),
     )
-    hashes = sanitize_texts(F.slice("file_texts", 3, 3), 256, False, HASH_LIMIT)
-    values = {
-        "hashes": sorted_distinct(F.transform(F.filter(hashes, is_hash), lambda h: F.lower(h))),
-        "domains": _indicators(_network_values(domains, limit)),
-        "ips": _indicators(_network_values(ips, limit)),
-        "urls": _indicators(_network_values(urls, limit)),
-        "registry_keys": sorted_distinct(F.col("behavior_summary.keys")),
-        "file_paths": sorted_distinct(F.col("behavior_summary.files")),
-        "mutexes": sorted_distinct(F.col("behavior_summary.mutexes")),
+    hashes = sanitize_texts("slice(file_texts, 3, 3)", 256, False, HASH_LIMIT)
+    network = {
+        name: _indicators(f"transform(network_texts[{at}], nt -> {canonical('nt')})", limit)
+        for at, (name, canonical) in enumerate(
+            (("domains", canonical_domain), ("ips", canonical_ip), ("urls", canonical_url))
+        )
     }
-    return areas.withColumn("ioc_candidates", F.struct(*(values[name].alias(name) for name in IOC_KINDS)))
+    return _with(areas, ioc_candidates=struct(
+        hashes=sorted_distinct(f"transform(filter({hashes}, h -> {is_hash('h')}), h -> lower(h))"),
+        **network,
+        registry_keys=sorted_distinct("behavior_summary.keys"),
+        file_paths=sorted_distinct("behavior_summary.files"),
+        mutexes=sorted_distinct("behavior_summary.mutexes"),
+    ))
 
 
 def _network(areas: DataFrame, options: TriageOptions) -> DataFrame:
-    values = F.array(*(F.col(f"raw_{name}") for name in TRAFFIC_LISTS))
-    ordered = F.array(*(F.col(f"ordered.network.{name}") for name in TRAFFIC_LISTS))
-    areas = areas.withColumn(
-        "traffic_texts", F.zip_with(values, ordered, lambda vs, ts: F.zip_with(vs, ts, lambda v, t: display_text(v, t)))
-    )
-    traffic = [
-        sanitize_texts(
-            F.col("traffic_texts")[at], size, redact and options.redact_pii, options.max_network_artifacts
-        ).alias(name)
+    values = array(*(f"raw_{name}" for name in TRAFFIC_LISTS))
+    ordered = array(*(f"ordered.network.{name}" for name in TRAFFIC_LISTS))
+    shown = f"zip_with({values}, {ordered}, (vs, ts) -> zip_with(vs, ts, (v, t) -> {display_text('v', 't')}))"
+    areas = _with(areas, traffic_texts=shown)
+    traffic = {
+        name: sanitize_texts(
+            f"traffic_texts[{at}]", size, redact and options.redact_pii, options.max_network_artifacts
+        )
         for at, (name, (size, redact)) in enumerate(TRAFFIC_LISTS.items())
-    ]
-    highlights = F.transform(
-        first_n(F.col("ioc_candidates.domains"), HIGHLIGHT_LIMIT),
-        lambda d, i: F.struct(numbered("net_", i).alias("id"), F.lit("domain").alias("type"), d.alias("value")),
+    }
+    highlight = struct(id=numbered("net_", "i"), type="'domain'", value="d")
+    return _with(
+        areas,
+        network_summary=struct(domains="ioc_candidates.domains", hosts="ioc_candidates.ips", **traffic),
+        network_highlights=f"transform({first_n('ioc_candidates.domains', HIGHLIGHT_LIMIT)}, (d, i) -> {highlight})",
     )
-    return areas.withColumns({
-        "network_summary": F.struct(
-            F.col("ioc_candidates.domains").alias("domains"), F.col("ioc_candidates.ips").alias("hosts"), *traffic
-        ),
-        "network_highlights": highlights,
-    })
 
 
-def _config(areas: DataFrame) -> Column:
+def _records_only(value: str, text: str) -> str:
+    """JSON text of an object in document order, ``{}`` for anything else."""
+    return case((is_record(value), spaced_json(text)), otherwise="'{}'")
+
+
+def _config() -> str:
     """JSON text of the extracted configuration: the preferred key if it holds a non-empty object, else the other one."""
-    first, second = (F.col(f"config_{i}") for i in range(2))
-    first_text, second_text = (F.col(f"config_text_{i}") for i in range(2))
-    return (
-        F.when(is_record(first) & (kind(first) != "OBJECT<>"), spaced_json(first_text))
-        .otherwise(_records_only(second, second_text))
-    )
+    filled = f"{is_record('config_0')} AND {kind('config_0')} <> 'OBJECT<>'"
+    return case((filled, spaced_json("config_text_0")), otherwise=_records_only("config_1", "config_text_1"))
 
 
 def normalize_reports(reports: DataFrame, options: TriageOptions = TriageOptions()) -> DataFrame:
@@ -263,29 +246,26 @@ def normalize_reports(reports: DataFrame, options: TriageOptions = TriageOptions
     areas = _areas(reports)
     for step in (_behavior, _processes, _signatures, _iocs, _network):
         areas = step(areas, options)
-    areas = risk_indicators(areas)
-    return areas.select(
-        "task_id",
-        F.struct(
-            F.col("info.id").alias("task_id"),
-            first_truthy(F.col("info.category"), F.col("target.category")).alias("category"),
-            sanitize(F.col("file_texts")[0], 120, redact=False).alias("submitted_filename"),
-            *(F.col(f"target.file.{name}").alias(name) for name in ("sha256", "sha1", "md5")),
-            sanitize(F.col("file_texts")[1], 120, redact=False).alias("type"),
-        ).alias("sample"),
-        F.struct(
-            F.col("malscore").alias("malscore"),
-            F.coalesce(F.array_size("raw_signatures"), F.lit(0)).alias("signature_count"),
-            F.coalesce(F.array_size("raw_processes"), F.lit(0)).alias("process_count"),
-        ).alias("high_level_scores"),
-        _records_only(F.col("raw_detections"), F.col("ordered.detections")).alias("detections"),
-        "behavior_summary",
-        "process_highlights",
-        "network_summary",
-        "network_highlights",
-        "signatures",
-        _config(areas).alias("config_extraction"),
-        "ioc_candidates",
-        "risk_indicators",
-        F.array(*(F.lit(ref) for ref in EVIDENCE_REFS)).alias("raw_evidence_refs"),
-    )
+    columns = {
+        "sample": struct(
+            task_id="info.id",
+            category=first_truthy("info.category", "target.category"),
+            submitted_filename=sanitize("file_texts[0]", 120, redact=False),
+            sha256="target.file.sha256", sha1="target.file.sha1", md5="target.file.md5",
+            type=sanitize("file_texts[1]", 120, redact=False),
+        ),
+        "high_level_scores": struct(
+            malscore="malscore",
+            signature_count="coalesce(array_size(raw_signatures), 0)",
+            process_count="coalesce(array_size(raw_processes), 0)",
+        ),
+        "detections": _records_only("raw_detections", "ordered.detections"),
+        **{name: name for name in (
+            "behavior_summary", "process_highlights", "network_summary", "network_highlights", "signatures",
+        )},
+        "config_extraction": _config(),
+        "ioc_candidates": "ioc_candidates",
+        "risk_indicators": "risk_indicators",
+        "raw_evidence_refs": f"array({lits(*EVIDENCE_REFS)})",
+    }
+    return risk_indicators(areas).selectExpr("task_id", *_named(columns))

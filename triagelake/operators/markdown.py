@@ -2,116 +2,92 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
+from triagelake.functions.sql import case, concat, let, lit
 from triagelake.functions.text import sanitize
 from triagelake.functions.variants import clamp_unit
 from triagelake.operators.assessments import TEAMS
 from triagelake.operators.evidence import IOC_KINDS
 
-
-def cell(text: Column, size: int) -> Column:
-    return sanitize(text, size, redact=False)
-
-
-def _or(text: Column, fallback: str) -> Column:
-    return F.when(F.coalesce(text, F.lit("")) == "", F.lit(fallback)).otherwise(text)
-
-
 _UNIT = 2**62
 
 
-def two_digits(number: Column) -> Column:
+def two_digits(number: str) -> str:
     """A confidence with two decimals, rounded from its exact binary value, ties to even: 0.125 gives 0.12, 0.285 gives 0.28.
 
     Spark rounds the shortest decimal text of a double instead.  Scaled by 2**62 a confidence is a whole number (any rest lies
     far below the second decimal), and whole numbers round exactly.
     """
-    value = clamp_unit(number)
-    unit = F.lit(_UNIT).cast("decimal(20,0)")
-    scaled = (F.nanvl(value, F.lit(0.0)) * float(_UNIT)).cast("bigint").cast("decimal(20,0)") * 100
-    rest = scaled % unit
-    whole = ((scaled - rest) / unit).cast("int")
-    up = (rest * 2 > unit) | ((rest * 2 == unit) & (whole % 2 == 1))
-    cents = whole + up.cast("int")
-    text = F.concat((cents / 100).cast("int").cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0"))
-    return F.when(F.isnan(value), F.lit("nan")).otherwise(text)
-
+    unit = f"CAST({_UNIT} AS decimal(20,0))"
+    scaled = f"CAST(CAST(x * {float(_UNIT)}D AS bigint) AS decimal(20,0)) * 100"
+    parts = f"named_struct('rest', s % {unit}, 'whole', CAST((s - s % {unit}) / {unit} AS int))"
+    up = f"(r.rest * 2 > {unit} OR (r.rest * 2 = {unit} AND r.whole % 2 = 1))"
+    cents = f"r.whole + CAST({up} AS int)"
+    text = let("c", cents, "concat(string(c div 100), '.', lpad(string(c % 100), 2, '0'))")
+    rounded = let("s", scaled, let("r", parts, text))
+    return let("x", clamp_unit(number), case(("isnan(x)", "'nan'"), otherwise=rounded))
 
-def _ids(entry: Column) -> Column:
-    return _or(F.array_join(entry["evidence_ids"], ","), "n/a")
 
-
-def _lines(values: Column, line, fallback: str) -> Column:
-    return F.when(F.size(values) > 0, F.array_join(F.transform(values, line), "\n")).otherwise(F.lit(fallback))
-
-
-def _family(f: Column) -> Column:
-    return F.concat(
-        F.lit("- **"), _or(cell(f["name"], 80), "N/A"), F.lit("** ("), two_digits(f["confidence"]), F.lit("): "),
-        cell(f["reason"], 140), F.lit(" | evidence: "), _ids(f),
-    )
+def cell(text: str, size: int) -> str:
+    return sanitize(text, size, redact=False)
 
 
-def _finding(f: Column) -> Column:
-    return F.concat(
-        F.lit("- **"), cell(f["title"], 100), F.lit("** ("), f["severity"], F.lit("): "), cell(f["why_it_matters"], 150),
-        F.lit(" | evidence: "), _ids(f),
-    )
+def _or(text: str, fallback: str) -> str:
+    return f"coalesce(nullif({text}, ''), {lit(fallback)})"
 
 
-def _step(s: Column) -> Column:
-    return F.concat(
-        s["step"].cast("string"), F.lit(". **"), cell(s["title"], 80), F.lit("** - "), cell(s["details"], 140),
-        F.lit(" (evidence: "), _ids(s), F.lit(")"),
-    )
+def _ids(entry: str) -> str:
+    return _or(f"array_join({entry}.evidence_ids, ',')", "n/a")
 
 
-def _technique(t: Column) -> Column:
-    return F.concat(
-        F.lit("- `"), _or(t["id"], "N/A"), F.lit("` "), cell(t["name"], 80), F.lit(" (confidence "),
-        two_digits(t["confidence"]), F.lit(") evidence: "), _ids(t),
-    )
+def _lines(values: str, line: str, fallback: str) -> str:
+    """One line per entry ``e`` of a list."""
+    return case((f"size({values}) > 0", f"array_join(transform({values}, e -> {line}), '\\n')"), otherwise=lit(fallback))
 
 
-def _joined(values: Column, size: int, separator: str, fallback: str) -> Column:
-    shown = F.array_join(F.transform(values, lambda v: cell(v, size)), separator)
-    return F.when(F.size(values) > 0, shown).otherwise(F.lit(fallback))
+def _joined(values: str, size: int, separator: str, fallback: str) -> str:
+    shown = f"array_join(transform({values}, e -> {cell('e', size)}), {lit(separator)})"
+    return case((f"size({values}) > 0", shown), otherwise=lit(fallback))
 
 
-def _record_lines(label: Column, values: Column) -> Column:
-    return F.concat(F.lit("- "), label, F.lit(": "), values)
+_FAMILY = concat(
+    "'- **'", _or(cell("e.name", 80), "N/A"), "'** ('", two_digits("e.confidence"), "'): '", cell("e.reason", 140),
+    "' | evidence: '", _ids("e"),
+)
+_FINDING = concat(
+    "'- **'", cell("e.title", 100), "'** ('", "e.severity", "'): '", cell("e.why_it_matters", 150), "' | evidence: '",
+    _ids("e"),
+)
+_STEP = concat(
+    "string(e.step)", "'. **'", cell("e.title", 80), "'** - '", cell("e.details", 140), "' (evidence: '", _ids("e"), "')'",
+)
+_TECHNIQUE = concat(
+    "'- `'", _or("e.id", "N/A"), "'` '", cell("e.name", 80), "' (confidence '", two_digits("e.confidence"),
+    "') evidence: '", _ids("e"),
+)
 
 
 def render_markdown(assessments: DataFrame) -> DataFrame:
     """``task_id, markdown``: the analyst's view of each assessment."""
-    verdict = F.col("verdict")
     lines = [
-        F.lit("# LLM Assessment Summary\n\n## Executive Verdict"),
-        F.concat(F.lit("- Status: `"), F.col("status"), F.lit("`")),
-        F.concat(F.lit("- Malicious: `"), F.initcap(verdict["is_malicious"].cast("string")), F.lit("`")),
-        F.concat(F.lit("- Confidence: `"), two_digits(verdict["confidence"]), F.lit("`")),
-        F.concat(F.lit("- Severity: `"), verdict["severity"], F.lit("`")),
-        F.lit("\n### Family Hypotheses"),
-        _lines(verdict["family_hypotheses"], _family, "- not observed"),
-        F.lit("\n## Key Findings"),
-        _lines(F.col("key_findings"), _finding, "- not observed"),
-        F.lit("\n## Attack Flow"),
-        _lines(F.col("attack_flow"), _step, "- insufficient evidence"),
-        F.lit("\n## ATT&CK / TTP Assessment"),
-        _lines(F.col("ttps"), _technique, "- not observed"),
-        F.lit("\n## IOCs"),
-        *(
-            _record_lines(F.lit(kind), _joined(F.slice(F.col("iocs")[kind], 1, 10), 90, ", ", "not observed"))
-            for kind in IOC_KINDS
-        ),
-        F.lit("\n## Recommended Actions"),
+        "'# LLM Assessment Summary'", "''", "'## Executive Verdict'",
+        concat("'- Status: `'", "status", "'`'"),
+        concat("'- Malicious: `'", "initcap(string(verdict.is_malicious))", "'`'"),
+        concat("'- Confidence: `'", two_digits("verdict.confidence"), "'`'"),
+        concat("'- Severity: `'", "verdict.severity", "'`'"),
+        "''", "'### Family Hypotheses'", _lines("verdict.family_hypotheses", _FAMILY, "- not observed"),
+        "''", "'## Key Findings'", _lines("key_findings", _FINDING, "- not observed"),
+        "''", "'## Attack Flow'", _lines("attack_flow", _STEP, "- insufficient evidence"),
+        "''", "'## ATT&CK / TTP Assessment'", _lines("ttps", _TECHNIQUE, "- not observed"),
+        "''", "'## IOCs'",
+        *(concat(lit(f"- {kind}: "), _joined(f"slice(iocs.{kind}, 1, 10)", 90, ", ", "not observed")) for kind in IOC_KINDS),
+        "''", "'## Recommended Actions'",
         *(
-            _record_lines(F.lit(team.upper()), _joined(F.col("analyst_actions")[team], 120, "; ", "not provided"))
+            concat(lit(f"- {team.upper()}: "), _joined(f"analyst_actions.{team}", 120, "; ", "not provided"))
             for team in TEAMS
         ),
-        F.lit("\n## Uncertainties"),
-        _lines(F.col("uncertainties"), lambda u: F.concat(F.lit("- "), cell(u, 200)), "- none"),
+        "''", "'## Uncertainties'", _lines("uncertainties", concat("'- '", cell("e", 200)), "- none"),
+        "''",
     ]
-    return assessments.select("task_id", F.concat(F.concat_ws("\n", *lines), F.lit("\n")).alias("markdown"))
+    return assessments.selectExpr("task_id", f"concat_ws('\\n', {', '.join(lines)}) AS markdown")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from triagelake.functions.variants import is_record, is_text, strict_json, strip, truthy
+from triagelake.functions.sql import case, lit
+from triagelake.functions.variants import is_record, is_text, plain_text, strict_json, strip, truthy, typed_at
 
 # Fixed value: the one provider whose replies are understood.
 PROVIDER = "openai_compatible"
@@ -46,34 +47,41 @@ def classify_responses(responses: DataFrame, provider: str = PROVIDER) -> DataFr
 
 
 def _classified(rows: DataFrame) -> DataFrame:
-    parsed = rows.withColumn("envelope", F.when(F.col("transport_error").isNull(), strict_json(F.col("body"))))
-    choice = F.try_variant_get("envelope", "$.choices[0]", "variant")
-    message = F.try_variant_get("choice", "$.message", "variant")
-    content = F.try_variant_get("message", "$.content", "variant")
+    envelope = case(("transport_error IS NULL", strict_json("body")))
     opened = (
-        parsed.withColumn("choice", choice).withColumn("message", message).withColumn("reply", content)
-        .withColumn("content", F.when(is_text(F.col("reply")), F.try_variant_get("reply", "$", "string")))
-    )
-    broken = F.col("choice").isNotNull() & (
-        (~is_record(F.col("choice")) & truthy(F.col("choice")))
-        | (~is_record(F.col("message")) & truthy(F.col("message")))
+        rows.selectExpr("*", f"{envelope} AS envelope")
+        .selectExpr("*", f"{typed_at('envelope', '$.choices[0]', 'variant')} AS choice")
+        .selectExpr("*", f"{typed_at('choice', '$.message', 'variant')} AS message")
+        .selectExpr("*", f"{typed_at('message', '$.content', 'variant')} AS reply")
+        .selectExpr(
+            "task_id", "transport_error", "details", "envelope IS NULL AS unreadable", "choice IS NULL AS no_choice",
+            f"{_misplaced('choice')} OR {_misplaced('message')} AS broken",
+            f"{case((is_text('reply'), plain_text('reply')))} AS content",
+        )
     )
-    error = (
-        F.when(F.col("transport_error").isNotNull(), F.col("transport_error"))
-        .when(F.col("envelope").isNull(), F.lit("invalid_response"))
-        .when(F.col("choice").isNull(), F.lit("empty_response"))
-        .when(broken, F.lit(None).cast("string"))
-        .when(F.col("content").isNull() | (strip(F.col("content")) == ""), F.lit("empty_content"))
+    error = case(
+        ("transport_error IS NOT NULL", "transport_error"),
+        ("unreadable", "'invalid_response'"),
+        ("no_choice", "'empty_response'"),
+        ("broken", "NULL"),
+        (f"content IS NULL OR {strip('content')} = ''", "'empty_content'"),
     )
-    return opened.select(
+    known = opened.selectExpr("task_id", f"{error} AS error", "details", "content", "broken")
+    failed = "error IS NOT NULL"
+    return known.selectExpr(
         "task_id",
-        F.when(error.isNotNull(), F.lit(FAILED)).when(broken, F.lit(BROKEN)).otherwise(F.lit(OK)).alias("outcome"),
-        error.alias("error"),
-        F.when(F.col("transport_error").isNotNull(), F.col("details")).alias("details"),
-        F.when(error.isNull() & ~broken, F.col("content")).alias("content"),
+        f"{case((failed, lit(FAILED)), ('broken', lit(BROKEN)), otherwise=lit(OK))} AS outcome",
+        "error",
+        "details",
+        "CASE WHEN error IS NULL AND NOT broken THEN content END AS content",
     )
 
 
+def _misplaced(value: str) -> str:
+    """True for a value that should be an object and is something else that counts as true."""
+    return f"({value} IS NOT NULL AND NOT {is_record(value)} AND {truthy(value)})"
+
+
 def one_per_task(responses: DataFrame) -> DataFrame:
     """At most one reply per task: a delivered one before a failed one, then the smallest text.
 

@@ -2,40 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from triagelake.operators.evidence import BEHAVIOR_LISTS, IOC_KINDS
 
 
-def exploded(rows: DataFrame, values: Column, *names: str) -> DataFrame:
-    """``posexplode`` of an array, 1-based.
-
-    The outer form keeps the optimiser from inferring a "not empty" filter below it, which would compute the array twice.
-    """
-    position, value = names
-    spread = rows.select("task_id", F.posexplode_outer(values).alias(position, value))
-    return spread.where(F.col(position).isNotNull()).withColumn(position, F.col(position) + 1)
+def exploded(rows: DataFrame, values: str) -> DataFrame:
+    """One row per entry of an array: ``task_id``, the 1-based ``pos`` and the ``item``."""
+    return rows.selectExpr("task_id", f"posexplode({values}) AS (at, item)").selectExpr("task_id", "at + 1 AS pos", "item")
 
 
 def _fields(rows: DataFrame, *fields: str) -> DataFrame:
-    return rows.select("task_id", F.col("pos"), *(F.col(f"item.{name}").alias(name) for name in fields))
-
-
-def _kinds(record: str, names: tuple[str, ...]) -> Column:
-    """The lists of a struct as one array of (kind, pos, value), so that a row is read once for all kinds."""
-    return F.concat(*(_labelled(F.col(f"{record}.{name}"), name) for name in names))
+    return rows.selectExpr("task_id", "pos", *(f"item.{name}" for name in fields))
 
 
-def _labelled(values: Column, kind: str) -> Column:
-    return F.transform(
-        values, lambda v, i: F.struct(F.lit(kind).alias("kind"), (i + 1).alias("pos"), v.alias("value"))
+def kind_rows(rows: DataFrame, record: str, names: tuple[str, ...]) -> DataFrame:
+    """One row per value of a struct of lists; the struct is read once for all its lists."""
+    labelled = ", ".join(
+        f"transform({record}.{name}, (v, i) -> named_struct('kind', '{name}', 'pos', i + 1, 'value', v))" for name in names
+    )
+    return rows.selectExpr("task_id", f"explode(concat({labelled})) AS item").selectExpr(
+        "task_id", "item.kind", "item.pos", "item.value"
     )
-
-
-def kind_rows(evidence: DataFrame, record: str, names: tuple[str, ...]) -> DataFrame:
-    rows = evidence.select("task_id", F.explode_outer(_kinds(record, names)).alias("item"))
-    return rows.where(F.col("item").isNotNull()).select("task_id", "item.kind", "item.pos", "item.value")
 
 
 def samples(evidence: DataFrame) -> DataFrame:
@@ -70,14 +59,14 @@ def network_summary(evidence: DataFrame) -> DataFrame:
 
 
 def process_highlights(evidence: DataFrame) -> DataFrame:
-    rows = exploded(evidence, F.col("process_highlights"), "pos", "item")
+    rows = exploded(evidence, "process_highlights")
     return _fields(rows, "id", "process_name", "pid", "suspicious_api_calls", "command_line").withColumn(
         "suspicious_api_calls", F.array_join("suspicious_api_calls", "|")
     )
 
 
 def process_apis(evidence: DataFrame) -> DataFrame:
-    rows = exploded(evidence, F.col("process_highlights"), "pos", "item")
+    rows = exploded(evidence, "process_highlights")
     calls = rows.select(
         "task_id", F.col("item.id").alias("process_id"), F.posexplode("item.suspicious_api_calls").alias("call_pos", "api")
     )
@@ -86,7 +75,7 @@ def process_apis(evidence: DataFrame) -> DataFrame:
 
 def signatures(evidence: DataFrame) -> DataFrame:
     rows = _fields(
-        exploded(evidence, F.col("signatures"), "pos", "item"), "id", "name", "severity", "description", "families", "ttp"
+        exploded(evidence, "signatures"), "id", "name", "severity", "description", "families", "ttp"
     )
     return rows.withColumns({
         "severity": F.col("severity").cast("string"),
@@ -96,10 +85,10 @@ def signatures(evidence: DataFrame) -> DataFrame:
 
 
 def network_highlights(evidence: DataFrame) -> DataFrame:
-    return _fields(exploded(evidence, F.col("network_highlights"), "pos", "item"), "id", "type", "value")
+    return _fields(exploded(evidence, "network_highlights"), "id", "type", "value")
 
 
 def risks(evidence: DataFrame) -> DataFrame:
     return _fields(
-        exploded(evidence, F.col("risk_indicators"), "pos", "item"), "id", "title", "severity", "reason", "evidence_ref"
+        exploded(evidence, "risk_indicators"), "id", "title", "severity", "reason", "evidence_ref"
     )
