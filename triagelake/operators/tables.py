@@ -9,8 +9,13 @@ from triagelake.operators.evidence import BEHAVIOR_LISTS, IOC_KINDS
 
 
 def exploded(rows: DataFrame, values: str) -> DataFrame:
-    """One row per entry of an array: ``task_id``, the 1-based ``pos`` and the ``item``."""
-    return rows.selectExpr("task_id", f"posexplode({values}) AS (at, item)").selectExpr("task_id", "at + 1 AS pos", "item")
+    """One row per entry of an array: ``task_id``, the 1-based ``pos`` and the ``item``.
+
+    The positions are put into the array.  For ``posexplode`` of a bare column Spark would infer a "not empty" filter and push
+    it to the scan, with the whole computation of the array inlined, which then runs twice or more.
+    """
+    placed = f"transform({values}, (v, i) -> named_struct('pos', i + 1, 'item', v))"
+    return rows.selectExpr("task_id", f"explode({placed}) AS entry").selectExpr("task_id", "entry.pos", "entry.item")
 
 
 def _fields(rows: DataFrame, *fields: str) -> DataFrame:

@@ -7,9 +7,14 @@ document (task ``p<document>``), so that some tasks get a reply and some do not.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from triagelake.sources.session import shared_folder
+
 BLOCK = 16_384
 BULK_FILES = 250
 
@@ -203,9 +208,26 @@ def page_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select(_text("p", F.col("page_id")).alias("task_id"), F.to_json(report).alias("raw"))
 
 
+def derived_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return event_reports(spark, sf_dir).unionByName(page_reports(spark, sf_dir))
+
+
+def _ingested(spark: SparkSession, sf_dir: str, name: str, derive: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
+    """A derived table, written once per application to the shared folder, as reports and replies are in practice."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _INGESTED:
+        path = f"{shared_folder(spark)}/{name}-{uuid4().hex}"
+        derive(spark, sf_dir).write.parquet(path)
+        _INGESTED[key] = path
+    return spark.read.parquet(_INGESTED[key])
+
+
+_INGESTED: dict[tuple[str, str, str], str] = {}
+
+
 def reports_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``task_id, raw``: all derived reports."""
-    return event_reports(spark, sf_dir).unionByName(page_reports(spark, sf_dir))
+    return _ingested(spark, sf_dir, "reports", derived_reports)
 
 
 def _reply_object(with_verdict: bool) -> Column:
@@ -248,6 +270,11 @@ def _reply_object(with_verdict: bool) -> Column:
 
 
 def responses_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All derived replies."""
+    return _ingested(spark, sf_dir, "responses", derived_responses)
+
+
+def derived_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``task_id, body, transport_error, transport_detail``: eight forms of content in ten forms of envelope."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")

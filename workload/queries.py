@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from triagelake.functions import text as texts
-from triagelake.functions.lists import first_n, or_empty, sorted_distinct
+from triagelake.functions.lists import first_n, sorted_distinct
 from triagelake.functions.lists import dedupe_first_seen as distinct_in_order
 from triagelake.functions.variants import clamp_unit, strict_json
 from triagelake.operators import artifacts, tables
@@ -21,7 +22,7 @@ from triagelake.options import TriageOptions
 from triagelake.plans.job import assess, run_triage
 from triagelake.sources.outputs import ATTACHED_COLUMN, JSON_DATASET, attach_assessments
 from triagelake.sources.session import configure, shared_folder
-from workload.derived import event_reports, page_reports, reports_raw, responses_raw, table
+from workload.derived import page_reports, reports_raw, responses_raw, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,69 +34,70 @@ WIDE = TriageOptions(max_input_events=300)
 # Text functions ---------------------------------------------------------------------------------------------------------
 
 def sanitize_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "documents")
-    return rows.select("doc_id", texts.sanitize(F.col("text"), 256).alias("clean"),
-                       F.length(texts.sanitize(F.col("text"), 1_000_000, redact=False)).alias("full_length"))
+    full = texts.sanitize("text", 1_000_000_000, redact=False)
+    return table(spark, sf_dir, "documents").selectExpr(
+        "doc_id", f"{texts.sanitize('text', 256)} AS clean", f"md5({full}) AS whole_text")
 
 
 def sanitize_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "conversations")
-    return rows.select("conv_id", "turn", texts.sanitize(F.col("text"), 180).alias("clean"))
+    return table(spark, sf_dir, "conversations").selectExpr("conv_id", "turn", f"{texts.sanitize('text', 180)} AS clean")
 
 
 def sanitize_pages_html(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "pages")
-    return rows.select("page_id", texts.sanitize(F.col("html"), 320, redact=False).alias("clean"))
+    return table(spark, sf_dir, "pages").selectExpr("page_id", f"{texts.sanitize('html', 320, redact=False)} AS clean")
 
 
 def redact_user_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     name, key = F.col("c_name"), F.col("c_custkey")
     path = F.when(key % 2 == 0, F.concat(F.lit("C:\\users\\"), name, F.lit("\\a b.exe"))).otherwise(
         F.concat(F.lit("/HOME/"), name, F.lit("/x  /home/"), F.col("c_mktsegment"), F.lit("/y")))
-    return table(spark, sf_dir, "customer").select("c_custkey", texts.sanitize(path).alias("path"))
+    rows = table(spark, sf_dir, "customer").select("c_custkey", path.alias("path"))
+    return rows.selectExpr("c_custkey", f"{texts.sanitize('path')} AS path")
 
 
 def clamp_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    values = table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), F.lit("event").alias("kind"),
-                                                   clamp_unit(F.col("value") / 100).alias("confidence"))
-    balances = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.lit("customer").alias("kind"),
-                                                       clamp_unit(F.col("c_acctbal") / 1000).alias("confidence"))
+    values = table(spark, sf_dir, "events").selectExpr(
+        "event_id AS id", "'event' AS kind", f"{clamp_unit('value / 100')} AS confidence")
+    balances = table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS id", "'customer' AS kind", f"{clamp_unit('c_acctbal / 1000')} AS confidence")
     return values.unionByName(balances)
 
 
 def severity_of_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    code = (F.col("p_size") % 8).cast("string")
-    word = F.element_at(F.array(*(F.lit(w) for w in (" High ", "INFO", "moderate", "Severe", "none", "Critical"))),
-                        (F.col("p_partkey") % 6 + 1).cast("int"))
-    return table(spark, sf_dir, "part").select(
-        "p_partkey", texts.severity_label(code).alias("by_code"), texts.severity_label(word).alias("by_word"),
-        texts.severity_label(word, allow_unknown=False).alias("by_word_known"))
+    words = "array(' High ', 'INFO', 'moderate', 'Severe', 'none', 'Critical')"
+    rows = table(spark, sf_dir, "part").selectExpr(
+        "p_partkey", "string(p_size % 8) AS code", f"{words}[p_partkey % 6] AS word")
+    return rows.selectExpr(
+        "p_partkey", f"{texts.severity_label('code')} AS by_code", f"{texts.severity_label('word')} AS by_word",
+        f"{texts.severity_label('word', allow_unknown=False)} AS by_word_known")
 
 
 def canonical_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
     host = F.concat(F.lit(".."), F.upper(F.regexp_extract("url", "^https?://([^/?#]*)", 1)), F.lit("."))
-    return table(spark, sf_dir, "pages").select("page_id", texts.canonical_domain(host).alias("domain"))
+    rows = table(spark, sf_dir, "pages").select("page_id", host.alias("host"))
+    return rows.selectExpr("page_id", f"{texts.canonical_domain('host')} AS domain")
 
 
 def canonical_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    long_query = F.concat(F.regexp_replace(F.upper("url"), "[?#].*$", ""), F.lit("?Q="), F.repeat(F.lit("x1"), 45), F.lit("#f"))
-    return table(spark, sf_dir, "pages").select(
-        "page_id", texts.canonical_url(F.col("url")).alias("url"), texts.canonical_url(long_query).alias("long_url"))
+    long_url = F.concat(F.regexp_replace(F.upper("url"), "[?#].*$", ""), F.lit("?Q="), F.repeat(F.lit("x1"), 45), F.lit("#f"))
+    rows = table(spark, sf_dir, "pages").select("page_id", "url", long_url.alias("long_url"))
+    return rows.selectExpr(
+        "page_id", f"{texts.canonical_url('url')} AS url", f"{texts.canonical_url('long_url')} AS long_url")
 
 
 def _matches(spark: SparkSession, sf_dir: str, pattern: str) -> DataFrame:
     found = F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
-    rows = table(spark, sf_dir, "documents").where(F.col("text").rlike(pattern))
-    return rows.select("doc_id", F.posexplode(found).alias("pos", "found"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.posexplode(found).alias("pos", "found"))
 
 
 def canonical_ips(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = _matches(spark, sf_dir, r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}")
-    return found.select("doc_id", "pos", texts.canonical_ip(F.concat(F.lit(" "), F.col("found"), F.lit("\t"))).alias("ip"))
+    padded = r"concat(' ', found, '\t')"
+    return found.selectExpr("doc_id", "pos", f"{texts.canonical_ip(padded)} AS ip")
 
 
 def document_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = _matches(spark, sf_dir, "[0-9a-fA-F]{20,}").where(texts.is_hash(F.col("found")))
+    found = _matches(spark, sf_dir, "[0-9a-fA-F]{20,}").where(texts.is_hash("found"))
     return found.select("doc_id", F.lower("found").alias("hash"))
 
 
@@ -103,7 +105,8 @@ def attack_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("p_partkey")
     name = F.when(key % 3 == 0, F.concat(F.lit("t"), key.cast("string"))).when(
         key % 3 == 1, F.concat(F.lit(" T"), key.cast("string"), F.lit(".00"), (key % 10).cast("string"))).otherwise(F.lit(" "))
-    return table(spark, sf_dir, "part").select("p_partkey", texts.attack_id(name).alias("attack_id"))
+    rows = table(spark, sf_dir, "part").select("p_partkey", name.alias("name"))
+    return rows.selectExpr("p_partkey", f"{texts.attack_id('name')} AS attack_id")
 
 
 # List operators ---------------------------------------------------------------------------------------------------------
@@ -123,10 +126,10 @@ def sorted_lists_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def words_in_row(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = F.split(F.regexp_replace("text", r"[^ -~]+", " "), " ")
-    kept = table(spark, sf_dir, "documents").select("doc_id", first_n(distinct_in_order(words), 12).alias("words"))
-    return kept.select("doc_id", F.array_join("words", "|").alias("first_words"),
-                       F.array_join(sorted_distinct(or_empty(F.col("words"))), "|").alias("sorted_words"))
+    words = first_n(distinct_in_order(r"split(regexp_replace(text, '[^ -~]+', ' '), ' ')"), 12)
+    kept = table(spark, sf_dir, "documents").selectExpr("doc_id", f"{words} AS words")
+    return kept.selectExpr("doc_id", "array_join(words, '|') AS first_words",
+                           f"array_join({sorted_distinct('words')}, '|') AS sorted_words")
 
 
 # Evidence ---------------------------------------------------------------------------------------------------------------
@@ -187,10 +190,10 @@ def paired_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def json_blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    blobs = classify_responses(replies(spark, sf_dir)).where(F.col("outcome") == "ok").select(
-        "task_id", json_blob(F.col("content")).alias("blob"))
-    return blobs.select("task_id", strict_json(F.col("blob")).isNotNull().alias("is_json"),
-                        F.substring("blob", 1, 1).alias("first"), F.substring("blob", -1, 1).alias("last"))
+    blobs = classify_responses(replies(spark, sf_dir)).where("outcome = 'ok'").selectExpr(
+        "task_id", f"{json_blob('content')} AS blob")
+    return blobs.selectExpr("task_id", f"{strict_json('blob')} IS NOT NULL AS is_json", "left(blob, 1) AS first",
+                            "right(blob, 1) AS last")
 
 
 def assessments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -264,7 +267,7 @@ def attached_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 def saved_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The job's published JSON lines, read back."""
     spark = configure(spark)
-    path = f"{shared_folder(spark)}/saved-outputs-{abs(hash((sf_dir, spark.sparkContext.applicationId)))}"
+    path = f"{shared_folder(spark)}/saved-outputs-{uuid4().hex}"
     run_triage(reports_raw(spark, sf_dir), responses_raw(spark, sf_dir), JOB, path)
     saved = spark.read.schema("task_id string, status string, error_type string, message string").json(f"{path}/{JSON_DATASET}")
     return saved.select("task_id", "status", "error_type", "message")
@@ -326,6 +329,4 @@ QUERIES: dict[str, Query] = {
     "markdown_reports": markdown_reports,
     "attached_reports": attached_reports,
     "saved_outputs": saved_outputs,
-}
-
-__all__ = ["QUERIES", "event_reports", "evidence"]
+}
\ No newline at end of file
