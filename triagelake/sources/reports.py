@@ -14,9 +14,7 @@ def _task_from_path(path: Column) -> Column:
 
 def read_reports(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
     """``task_id, raw`` from a folder tree with one report per file."""
-    files = (
-        spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(path)
-    )
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=pattern)
     return files.select(_task_from_path(F.col("_metadata.file_path")).alias("task_id"), F.col("value").alias("raw"))
 
 
