@@ -23,24 +23,34 @@ ATTACK_ID = r"^T[0-9]{4}(\.[0-9]{3})?$"
 HASH = "^[a-fA-F0-9]{32,64}$"
 
 
+# Text that clean-up would change: anything but printable ASCII, a code fence, or blanks that are doubled or at an end.
+UNTIDY = r"[^ -~]|```|  |^ | $"
+
+
 def redact_paths(text: str) -> str:
     """Hide account names in Windows and Unix profile paths."""
     text = replace(text, r"(?i)\\Users\\[^\\\s]+", r"\\Users\\<redacted>")
     return replace(text, r"(?i)/home/[^/\s]+", "/home/<redacted>")
 
 
+def _tidy(text: str) -> str:
+    text = replace(text, CONTROL, "?")
+    text = replace(text, CODE_BLOCK, CODE_BLOCK_MARK)
+    text = replace(text, UNPRINTABLE, "?")
+    return f"trim({replace(text, r'[ \t\n\r]+', ' ')})"
+
+
 def sanitize(text: str, max_len: int = 256, redact: bool = True) -> str:
     """Printable, single-spaced text of at most ``max_len`` characters; NULL becomes ''.
 
-    The order matters: control characters, code blocks, other unprintable characters, white space, account names, cut.
+    The order matters: control characters, code blocks, other unprintable characters, white space, account names, cut.  Most
+    artefacts are tidy already, so one test saves them the four replacements, and text without a slash the redaction.
     """
-    text = replace(f"coalesce({text}, '')", CONTROL, "?")
-    text = replace(text, CODE_BLOCK, CODE_BLOCK_MARK)
-    text = replace(text, UNPRINTABLE, "?")
-    text = f"trim({replace(text, r'[ \t\n\r]+', ' ')})"
+    tidy = let("sx", f"coalesce({text}, '')", case((f"sx RLIKE {lit(UNTIDY)}", _tidy("sx")), otherwise="sx"))
     if redact:
-        text = redact_paths(text)
-    return f"substring({text}, 1, {max_len})"
+        slash = f"contains(sy, '/') OR contains(sy, {lit(chr(92))})"
+        tidy = let("sy", tidy, case((slash, redact_paths("sy")), otherwise="sy"))
+    return f"substring({tidy}, 1, {max_len})"
 
 
 def severity_label(text: str, allow_unknown: bool = True) -> str:

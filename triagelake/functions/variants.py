@@ -167,7 +167,7 @@ def named_numbers(text: str) -> str:
 
 
 def strict_json(text: str) -> str:
-    """``wrapped_json`` that also accepts the number names NaN, Infinity and -Infinity as values.  Pass a column name."""
-    named = let("nn", named_numbers(f"concat(' ', {text})"), wrapped_json("nn"))
-    spelled = f"contains({text}, 'NaN') OR contains({text}, 'Infinity')"
-    return f"coalesce({wrapped_json(text)}, {case((spelled, named))})"
+    """``wrapped_json`` that also accepts the number names NaN, Infinity and -Infinity as values."""
+    named = let("nn", named_numbers("concat(' ', sj)"), wrapped_json("nn"))
+    spelled = "contains(sj, 'NaN') OR contains(sj, 'Infinity')"
+    return let("sj", text, f"coalesce({wrapped_json('sj')}, {case((spelled, named))})")

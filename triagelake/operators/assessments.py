@@ -91,14 +91,15 @@ def json_blob(content: str) -> str:
     """
     fence = lit(r"(?is)```(?:json)?(.*?)```")
     inner = let("whole", strip(content), case(
-        (f"whole RLIKE {fence}", strip(f"regexp_extract(whole, {fence}, 1)")), otherwise="whole",
+        (f"contains(whole, '```') AND whole RLIKE {fence}", strip(f"regexp_extract(whole, {fence}, 1)")), otherwise="whole",
     ))
     span = "named_struct('first', locate('{', part), 'last', length(part) - locate('}', reverse(part)) + 1)"
     braced = case(
         ("s.first > 0 AND contains(part, '}') AND s.last > s.first", "substring(part, s.first, s.last - s.first + 1)"),
         otherwise="part",
     )
-    return let("part", inner, let("s", span, braced))
+    whole = "startswith(part, '{') AND endswith(part, '}')"
+    return let("part", inner, case((whole, "part"), otherwise=let("s", span, braced)))
 
 
 Built = Callable[[str, str], dict[str, str]]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from triagelake.functions.sql import case, lit
+from triagelake.functions.sql import case, let, lit, struct
 from triagelake.functions.variants import is_record, is_text, plain_text, strict_json, strip, truthy, typed_at
 
 # Fixed value: the one provider whose replies are understood.
@@ -47,34 +47,35 @@ def classify_responses(responses: DataFrame, provider: str = PROVIDER) -> DataFr
 
 
 def _classified(rows: DataFrame) -> DataFrame:
-    envelope = case(("transport_error IS NULL", strict_json("body")))
-    opened = (
-        rows.selectExpr("*", f"{envelope} AS envelope")
-        .selectExpr("*", f"{typed_at('envelope', '$.choices[0]', 'variant')} AS choice")
-        .selectExpr("*", f"{typed_at('choice', '$.message', 'variant')} AS message")
-        .selectExpr("*", f"{typed_at('message', '$.content', 'variant')} AS reply")
-        .selectExpr(
-            "task_id", "transport_error", "details", "envelope IS NULL AS unreadable", "choice IS NULL AS no_choice",
-            f"{_misplaced('choice')} OR {_misplaced('message')} AS broken",
-            f"{case((is_text('reply'), plain_text('reply')))} AS content",
-        )
-    )
+    """The outcome is one expression in which every step is named.
+
+    A filter on the outcome, which Spark copies down to the scan, then repeats the work once and not once per mention.
+    """
     error = case(
         ("transport_error IS NOT NULL", "transport_error"),
-        ("unreadable", "'invalid_response'"),
-        ("no_choice", "'empty_response'"),
+        ("envelope IS NULL", "'invalid_response'"),
+        ("choice IS NULL", "'empty_response'"),
         ("broken", "NULL"),
         (f"content IS NULL OR {strip('content')} = ''", "'empty_content'"),
     )
-    known = opened.selectExpr("task_id", f"{error} AS error", "details", "content", "broken")
-    failed = "error IS NOT NULL"
-    return known.selectExpr(
-        "task_id",
-        f"{case((failed, lit(FAILED)), ('broken', lit(BROKEN)), otherwise=lit(OK))} AS outcome",
-        "error",
-        "details",
-        "CASE WHEN error IS NULL AND NOT broken THEN content END AS content",
+    state = struct(
+        outcome=case(("error IS NOT NULL", lit(FAILED)), ("broken", lit(BROKEN)), otherwise=lit(OK)),
+        error="error",
+        details="details",
+        content="CASE WHEN error IS NULL AND NOT broken THEN content END",
     )
+    steps = {
+        "envelope": case(("transport_error IS NULL", strict_json("body"))),
+        "choice": typed_at("envelope", "$.choices[0]", "variant"),
+        "message": typed_at("choice", "$.message", "variant"),
+        "broken": f"{_misplaced('choice')} OR {_misplaced('message')}",
+        "reply": typed_at("message", "$.content", "variant"),
+        "content": case((is_text("reply"), plain_text("reply"))),
+        "error": error,
+    }
+    for name, expression in reversed(steps.items()):
+        state = let(name, expression, state)
+    return rows.selectExpr("task_id", f"{state} AS state").selectExpr("task_id", "state.*")
 
 
 def _misplaced(value: str) -> str:

@@ -52,6 +52,11 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _partitions(spark: SparkSession) -> int:
+    """The configured number, which adaptive execution keeps; it would merge small inputs into one task."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _calls(k: Column) -> Column:
     """Up to 25 calls; some entries are no records, some name no API, and the last may be an injection API."""
     last = k % 25
@@ -151,7 +156,8 @@ def _prefixed(condition: Column, entry: str, values: Column) -> Column:
 
 
 def event_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fragments = _event_fragments(events(spark, sf_dir))
+    # Shuffling the plain events first moves far less data than shuffling their JSON; the grouping below reuses it.
+    fragments = _event_fragments(events(spark, sf_dir).repartition(_partitions(spark), "u", "block"))
     names = [name for name in fragments.columns if name not in ("u", "block")]
     grouped = fragments.groupBy("u", "block").agg(F.array_sort(F.collect_list(F.struct(*names))).alias("items"))
     u = F.col("u")
@@ -217,7 +223,8 @@ def _ingested(spark: SparkSession, sf_dir: str, name: str, derive: Callable[[Spa
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _INGESTED:
         path = f"{shared_folder(spark)}/{name}-{uuid4().hex}"
-        derive(spark, sf_dir).write.parquet(path)
+        # Parsing and cleaning cost far more time than reading, so the table is spread over all cores.
+        derive(spark, sf_dir).repartition(_partitions(spark), "task_id").write.parquet(path)
         _INGESTED[key] = path
     return spark.read.parquet(_INGESTED[key])
 
@@ -279,7 +286,8 @@ def derived_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
     d = F.col("doc_id")
-    rows = documents.join(labels, "doc_id", "left").withColumn("answer", _reply_object(True))
+    rows = documents.repartition(_partitions(spark), "doc_id").join(labels, "doc_id", "left")
+    rows = rows.withColumn("answer", _reply_object(True))
     answer = F.col("answer")
     content = _pick(d % 8, {
         0: answer, 1: _text("Here it is\n```json\n", answer, "\n```\nbye"), 2: _text("Result: ", answer, " done"),
