@@ -102,7 +102,7 @@ def spaced_json(json_text: str) -> str:
 
 def json_string(text: str) -> str:
     """A STRING as a quoted JSON string."""
-    return f"regexp_replace(to_json(array({text})), '^.|.$', '')"
+    return let("jq", f"to_json(array({text}))", "substring(jq, 2, length(jq) - 2)")
 
 
 def json_strings(values: str) -> str:

@@ -8,7 +8,6 @@ from triagelake.functions.variants import strip
 # The characters kept besides printable ASCII.
 KEPT_CJK = "中文，。；：！？（）【】《》、“”‘’"
 
-CONTROL = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]"
 CODE_BLOCK = r"(?s)```.*?```"
 CODE_BLOCK_MARK = "[code_block_removed]"
 UNPRINTABLE = r"[^\t\n\r\x20-\x7e" + KEPT_CJK + "]"
@@ -34,17 +33,16 @@ def redact_paths(text: str) -> str:
 
 
 def _tidy(text: str) -> str:
-    text = replace(text, CONTROL, "?")
-    text = replace(text, CODE_BLOCK, CODE_BLOCK_MARK)
-    text = replace(text, UNPRINTABLE, "?")
-    return f"trim({replace(text, r'[ \t\n\r]+', ' ')})"
+    """Control characters are among the unprintable ones and no part of a fence, so one replacement serves for both."""
+    text = case((f"contains({text}, '```')", replace(text, CODE_BLOCK, CODE_BLOCK_MARK)), otherwise=text)
+    return f"trim({replace(replace(text, UNPRINTABLE, '?'), r'[ \t\n\r]+', ' ')})"
 
 
 def sanitize(text: str, max_len: int = 256, redact: bool = True) -> str:
     """Printable, single-spaced text of at most ``max_len`` characters; NULL becomes ''.
 
-    The order matters: control characters, code blocks, other unprintable characters, white space, account names, cut.  Most
-    artefacts are tidy already, so one test saves them the four replacements, and text without a slash the redaction.
+    The order matters: code blocks, unprintable characters, white space, account names, cut.  Most
+    artefacts are tidy already, so one test saves them the replacements, and text without a slash the redaction.
     """
     tidy = let("sx", f"coalesce({text}, '')", case((f"sx RLIKE {lit(UNTIDY)}", _tidy("sx")), otherwise="sx"))
     if redact:
