@@ -152,7 +152,9 @@ def _list_of(name: str) -> Column:
 
 
 def _prefixed(condition: Column, entry: str, values: Column) -> Column:
-    return F.when(condition, F.concat(F.lit(f"[{entry},"), F.substring(values, F.lit(2), F.length(values)))).otherwise(values)
+    """Put an entry in front of a JSON list, which may be empty."""
+    opened = F.when(values == "[]", F.lit(f"[{entry}")).otherwise(F.lit(f"[{entry},"))
+    return F.when(condition, F.concat(opened, F.substring(values, F.lit(2), F.length(values)))).otherwise(values)
 
 
 def event_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
