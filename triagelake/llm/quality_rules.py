@@ -20,7 +20,7 @@ from triagelake.llm.common import stored
 from triagelake.llm.votes import Reliabilities, estimate
 
 WINDOW = 8
-_SPACE = r"' \t\n\u000B\f\r'"
+_SPACE = r"' \t\n\u000B\u000C\r'"
 
 #: rule: (to drop if, to keep if); in between it abstains.
 RULES = {
