@@ -158,11 +158,12 @@ class Restorer:
         return tuple(dict.fromkeys(plain))
 
     def spaced(self, text: bytes) -> list[str]:
-        """Words whose letters stand alone."""
+        """Words whose letters stand alone, also without their first or last letter, which may be a word of its own."""
         if not _MAYBE_ALONE.search(text):
             return []
         found = _ALONE.findall(text.decode("utf-8", "replace"))
-        return [self.restore(stretch.lower()) for stretch in found if len(stretch) <= 4 * LONGEST]
+        whole = [self.restore(stretch.lower()) for stretch in found if len(stretch) <= 4 * LONGEST]
+        return list(dict.fromkeys(form for w in whole for form in (w, w[1:], w[:-1]) if form))
 
 
 def features(word: str) -> list[str]:
