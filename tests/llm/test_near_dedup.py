@@ -29,6 +29,19 @@ def test_against_plain_version(documents, odd_rows, prose, size):
     assert any(r[2] != r[0] for r in found)
 
 
+def test_crowded_buckets_are_compared_as_a_whole(documents, prose, monkeypatch):
+    """Many copies of one text with different changes: most pairs fall short of the threshold, some chains do not; in one tile and in many."""
+    from triagelake.llm import near_dedup
+
+    base = prose(150, 77, 3000)
+    rows = [(i, changed(base, 0.004 * (i % 23), 500 + i)) for i in range(120)]
+    wanted = sorted(plain.near(rows, 2))
+    assert len({r[2] for r in wanted}) > 5
+    for tile in (near_dedup.TILE, 3000):
+        monkeypatch.setattr(near_dedup, "TILE", tile)
+        assert sorted(map(tuple, near_duplicates(documents(rows), 2).collect())) == wanted
+
+
 def test_rows_without_id_and_repeated_rows(documents):
     rows = [(None, "a b c d e f"), (5, "a b c d e f"), (5, "a b c d e f"), (7, "a b c d e f"), (None, None)]
     found = sorted(((r.doc_id, r.component_id, r.kept) for r in near_duplicates(documents(rows)).collect()), key=repr)
@@ -60,5 +73,5 @@ def test_components(spark):
     star = [(100, k) for k in range(101, 150)]
     edges = spark.createDataFrame([*chain, *star, (300, 200), (200, 250), (250, 300), (5, 5)], "a long, b long").repartition(3)
     found = {r.node: r.component for r in components(edges).collect()}
-    assert found == {**{i: 0 for i in range(41)}, **{k: 100 for k in range(100, 150)}, 200: 200, 250: 200, 300: 200}
+    assert found == {**{i: 0 for i in range(1, 41)}, **{k: 100 for k in range(101, 150)}, 250: 200, 300: 200}
     assert components(edges.limit(0)).collect() == []

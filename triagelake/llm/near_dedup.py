@@ -9,9 +9,10 @@ agree in a coordinate with a chance of their similarity, concentrated as if coor
 Bands of ``ROWS`` coordinates are the buckets: at a similarity of 0.8 a pair shares none of the 42 with a chance of 3 in a million.
 Documents with equal sets form a class, and only the smallest id of a class takes part further on.  Within a bucket every class
 is verified against the bucket's smallest id, which is linear however large the bucket is; classes that are then connected need no
-further look.  Buckets whose classes are still in different components go through further rounds with another leader for each
-component, and what is left after ``ROUNDS`` is compared across components (never within one), so no link that could join two
-components is lost.  Verification compares the whole shingle sets.
+further look.  Buckets whose classes are still in different components are compared as a whole: their sets are laid out as a matrix,
+whose product has the sizes of all intersections, and one link is reported for each two components.  No pair becomes a row.  A bucket
+with more than ``TILE`` elements is cut into tiles, and tiles are compared two by two, so every task stays bounded and no link that
+could join two components is lost.  Verification always takes the whole shingle sets.
 
 Components come from alternating large-star and small-star steps over stored edges.  Hot buckets, classes and components are only
 ever aggregated by min or joined on a key with one row on the other side, which Spark can split.
@@ -25,6 +26,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,7 +36,8 @@ from triagelake.llm.common import stored, with_columns
 from triagelake.llm.words import BASES, U64, Spans, mix, pieces, signed, words_of
 
 BINS, ROWS = 252, 6
-ROUNDS = 3
+#: Elements of the sets that one task compares at once.
+TILE = 1_000_000
 _LOW = U64((1 << 48) - 1)
 
 
@@ -109,6 +112,59 @@ FIELDS = [StructField("n_shingles", LongType()), StructField("set_1", LongType()
           StructField("bands", ArrayType(LongType()))]
 
 
+def _links(sets: list[np.ndarray], ids: np.ndarray, owners: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """One similar pair of ids for each two owners (components) that have one."""
+    names, counts = np.unique(owners, return_counts=True)
+    rest = np.flatnonzero(owners != names[counts.argmax()])  # the largest component is compared with the others only
+    size = np.array([len(s) for s in sets])
+    row = np.repeat(np.arange(len(sets)), size)
+    values, column, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = np.flatnonzero(held > 1)
+    place = np.full(len(values), -1)
+    place[shared] = np.arange(len(shared))
+    column = place[column]
+    both = np.zeros((len(rest), len(sets)), dtype=np.float32)
+    width = max(1, 8_000_000 // len(sets))
+    for at in range(0, len(shared), width):
+        inside = (column >= at) & (column < at + width)
+        grid = np.zeros((len(sets), min(width, len(shared) - at)), dtype=np.float32)
+        grid[row[inside], column[inside] - at] = 1
+        both += grid[rest] @ grid.T
+    close = 100 * both >= percent * (size[rest][:, None] + size[None, :] - both)
+    i, j = np.nonzero(close & (owners[rest][:, None] != owners[None, :]))
+    found = {tuple(sorted((owners[rest[x]], owners[y]))): (ids[rest[x]], ids[y]) for x, y in zip(i, j)}
+    return [(int(max(pair)), int(min(pair))) for pair in found.values()]
+
+
+def _open_links(inside: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links (a, b) between different components in the buckets ``inside`` (bucket, member, n_shingles, component)."""
+    tiles = inside.groupBy("bucket").agg((1 + F.floor(F.sum("n_shingles") / TILE)).cast("int").alias("tiles"))
+    tile = F.pmod(F.xxhash64("member"), F.col("tiles")).cast("int")
+    turned = inside.join(tiles, "bucket").withColumn("tile", tile).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    turned = turned.select("bucket", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"), "member", "n_shingles",
+                           "component")
+    groups = 1 + (turned.agg(F.sum("n_shingles")).first()[0] or 0) // (2 * TILE)
+    turned = turned.withColumn("group", F.pmod(F.xxhash64("bucket", "low", "high"), F.lit(groups)))
+
+    def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = shingle_sets(batch.column("text").cast(pa.binary()).to_pylist(), size)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([signed(s) for s in own], pa.list_(pa.int64()))],
+                                             names=["member", "elements"])
+
+    wanted = inside.select(F.col("member").alias("doc_id")).distinct()
+    sets = texts.join(wanted, "doc_id").select("doc_id", "text").mapInArrow(elements, "member long, elements array<long>")
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        found: list[tuple[int, int]] = []
+        for _, own in rows.groupby(["bucket", "low", "high"], sort=False):
+            found += _links(own["elements"].tolist(), own["member"].to_numpy(), own["component"].to_numpy(), percent)
+        return pd.DataFrame(sorted(set(found)), columns=["a", "b"], dtype="int64")
+
+    joined = turned.join(sets, "member").select("group", "bucket", "low", "high", "member", "component", "elements")
+    return joined.groupBy("group").applyInPandas(compare, "a long, b long")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough."""
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
@@ -131,8 +187,10 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node, component (its smallest reachable node) for all nodes of the edges (a, b)."""
+    """node, component (its smallest reachable node) for all nodes of the edges (a, b) but the smallest of each component."""
+    mark = [F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("node", "parent").cast("decimal(38,0)")).alias("s")]
     now = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("parent")).distinct(), "edges")
+    seen = now.agg(*mark).first()
     while True:
         both = now.unionByName(now.select(F.col("parent").alias("node"), F.col("node").alias("parent")))
         least = both.groupBy("node").agg(F.min("parent").alias("least"))
@@ -143,10 +201,8 @@ def components(edges: DataFrame) -> DataFrame:
         after = small.select("node", F.col("least").alias("parent")).unionByName(
             small.where("parent > least").select(F.col("parent").alias("node"), F.col("least").alias("parent"))).distinct()
         after = stored(after, "edges")
-        mark = [F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("node", "parent").cast("decimal(38,0)")).alias("s")]
-        same = now.agg(*mark).first() == after.agg(*mark).first()
-        now = after
-        if same:
+        before, seen, now = seen, after.agg(*mark).first(), after
+        if seen == before:
             return now.select("node", F.col("parent").alias("component"))
 
 
@@ -176,32 +232,21 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     pairs = shared.where("member > leader").select(F.col("member").alias("a"), F.col("leader").alias("b")).distinct()
     edges = stored(_verified(pairs, texts, size, percent), "links")
     joined = stored(_joined(members, edges), "joined")
-    for turn in range(ROUNDS + 1):
-        inside = shared.join(joined, "member")
-        open_ = inside.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-        inside = stored(inside.join(open_.select("bucket"), "bucket").select("bucket", "member", "n_shingles", "component"), "open")
-        if inside.isEmpty():
-            break
-        if turn < ROUNDS:
-            chosen = F.min_by("member", F.xxhash64(F.lit(turn), F.col("member")))
-            heads = inside.groupBy("bucket", "component").agg(chosen.alias("head")).groupBy("bucket").agg(
-                F.min_by(F.struct("component", "head"), F.xxhash64(F.lit(turn), F.col("component"))).alias("one"))
-            heads = heads.select("bucket", F.col("one.component").alias("of"), F.col("one.head").alias("other"))
-            found = inside.join(heads, "bucket").where(F.col("component") != F.col("of"))
-        else:
-            other = inside.select("bucket", F.col("member").alias("other"), F.col("component").alias("of"), F.col("n_shingles").alias("n"))
-            found = inside.join(other, "bucket").where(
-                (F.col("component") < F.col("of")) & (100 * F.least("n_shingles", "n") >= percent * F.greatest("n_shingles", "n")))
-        pairs = found.select(F.greatest("member", "other").alias("a"), F.least("member", "other").alias("b")).distinct()
-        more = stored(_verified(pairs, texts, size, percent), "links")
-        if more.isEmpty():
-            continue
-        edges = edges.unionByName(more)
-        joined = stored(_joined(members, edges), "joined")
+    owned = shared.join(joined, "member").select("bucket", "member", "n_shingles", "component")
+    open_ = owned.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("bucket")
+    inside = stored(owned.join(open_, "bucket"), "open")
+    more = stored(_open_links(inside, texts, size, percent), "links")
+    if not more.isEmpty():
+        # Components are merged as wholes: the graph that is left has one node for each of them.
+        of = joined.select(F.col("member").alias("node"), "component")
+        ends = more.join(of.select(F.col("node").alias("a"), F.col("component").alias("x")), "a").join(
+            of.select(F.col("node").alias("b"), F.col("component").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+        merged = components(ends).select(F.col("node").alias("component"), F.col("component").alias("merged"))
+        joined = joined.join(merged, "component", "left").select("member", F.coalesce("merged", "component").alias("component"))
 
     found = classes.join(joined, "member")
     labelled = sketched.join(found.select("set_1", "set_2", "component"), ["set_1", "set_2"], "left")
-    component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id"))
+    component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).otherwise(F.col("doc_id"))
     return labelled.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
