@@ -8,31 +8,36 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from triagelake.llm import exact_dedup, mixing, near_dedup, packing, toxicity
+from triagelake.llm.common import ship
 from triagelake.sources.session import shared_folder
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score reaches the threshold go."""
-    return toxicity.drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.drop_toxic(docs, ship(spark).read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One of equal texts stays."""
+    ship(spark)
     return exact_dedup.drop_exact_duplicates(docs)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: five-word shingles, similarity of 0.8 or more."""
+    ship(spark)
     return near_dedup.drop_near_duplicates(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources at their target weights: documents drawn more than once are repeated, others left out."""
+    ship(spark)
     return mixing.mix(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of 4096 tokens."""
+    ship(spark)
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 from uuid import uuid4
 
 import pyarrow as pa
@@ -19,6 +22,22 @@ SPACES = " \t\n\x0b\f\r"
 _STORED: list[str] = []
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package to the Python workers of all executors, once per application, so that it need not be installed there."""
+    if spark.sparkContext.applicationId not in _SHIPPED:
+        _SHIPPED.add(spark.sparkContext.applicationId)
+        package = Path(__file__).resolve().parents[1]
+        archive = Path(tempfile.mkdtemp(prefix="triagelake-")) / "triagelake.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for path in sorted(package.rglob("*.py")):
+                out.write(path, path.relative_to(package.parent))
+        spark.sparkContext.addPyFile(str(archive))
+    return spark
+
+
 def stored(rows: DataFrame, name: str) -> DataFrame:
     """Write ``rows`` to the shared folder and read them back, so that what follows starts from files that all executors see."""
     spark = rows.sparkSession

@@ -1,7 +1,7 @@
 """Quality rules as weak supervision: each rule votes or abstains, and what the votes are worth is estimated from all documents.
 
 Per document a handful of measures is taken by Spark's own functions.  Each rule turns measures into a vote to keep (1), to drop (-1)
-or none (0).  The patterns of votes are counted over all documents (at most 3 ** 8), expectation-maximisation estimates how often each
+or none (0).  The patterns of votes are counted over all documents (at most 3 to the power of their number), expectation-maximisation estimates how often each
 rule votes how on good and on bad documents, and the posterior probability of a good document replaces passing every single filter.
 
 Defined results: a null or empty text has no words; it fails the base (fewer than 20 words).  Rows that repeat an id are judged each by
@@ -27,15 +27,19 @@ RULES = {
     "length": ("n_words < 20", "n_words >= 40"),
     "word_length": ("word_chars < 2 * n_words OR word_chars > 14 * n_words", "word_chars BETWEEN 3 * n_words AND 10 * n_words"),
     "symbols": ("10 * n_symbols > n_words", "50 * n_symbols <= n_words"),
-    "lines": ("10 * n_dup_lines > 3 * n_lines", "n_dup_lines = 0"),
+    "lines": ("2 * n_dup_lines > n_lines", "10 * n_dup_lines <= n_lines"),
     "repeats": ("10 * n_repeat_words > 3 * n_words", "50 * n_repeat_words <= n_words"),
     "capitals": ("10 * n_capitals > 4 * n_letters", "100 * n_capitals <= 15 * n_letters"),
     "variety": ("10 * n_distinct < 2 * n_words", "10 * n_distinct >= 3 * n_words"),
+    "bare": ("10 * n_bare > 2 * n_words", "50 * n_bare <= n_words"),
     "letters": ("10 * n_letters < 6 * word_chars", "10 * n_letters >= 8 * word_chars"),
 }
 #: Belief before any document is seen: chance of the votes (-1, 0, 1) on bad and on good documents.
-BELIEVED = ((0.30, 0.20, 0.50), (0.01, 0.09, 0.90))
+BELIEVED = ((0.25, 0.10, 0.65), (0.005, 0.065, 0.93))
 PRIOR = 0.85
+#: The rules abstain in doubt, so a good document gets a vote to drop from one of them with this chance at most.  A bad document mostly
+#: breaks one rule and passes the others; without this bound nothing but votes that agree could tell it from a good one.
+MOST_FALSE = 0.01
 
 
 def measures() -> dict[str, str]:
@@ -57,6 +61,7 @@ def measures() -> dict[str, str]:
         "dup": let("l", lines, "struct(bigint(size(l)) AS n_lines, bigint(size(l) - size(array_distinct(l))) AS n_dup_lines)"),
         "n_repeat_words": f"CASE WHEN size(w) <= {WINDOW} THEN 0L ELSE {repeated} END",
         "n_distinct": "bigint(size(array_distinct(w)))",
+        "n_bare": r"bigint(size(filter(w, x -> NOT x RLIKE '\\p{L}')))",
         "n_letters": r"bigint(length(regexp_replace(t, '[^\\p{L}]++', '')))",
         "n_capitals": r"bigint(length(regexp_replace(t, '[^\\p{Lu}]++', '')))",
     }
@@ -86,7 +91,7 @@ def voted(docs: DataFrame) -> DataFrame:
 def reliabilities(rows: DataFrame) -> Reliabilities:
     """Estimated over the patterns of votes of all rows."""
     patterns = rows.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).collect()  # 3 ** len(RULES) at most
-    return estimate({tuple(r.votes): r.n for r in patterns}, PRIOR, [BELIEVED] * len(RULES))
+    return estimate({tuple(r.votes): r.n for r in patterns}, PRIOR, [BELIEVED] * len(RULES), most_false=MOST_FALSE)
 
 
 def posterior(found: Reliabilities) -> str:

@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from triagelake.llm import (exact_dedup, language, mixing, near_dedup, packing, personal_data, quality_model, quality_rules,
                             substring_dedup, toxicity)
+from triagelake.llm.common import ship
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return ship(spark).read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,11 +28,12 @@ class Reliabilities:
 
 
 def estimate(counts: Mapping[tuple[int, ...], float], prior: float, believed: Sequence[tuple[tuple[float, ...], tuple[float, ...]]],
-             trust: float = 0.05, rounds: int = 200) -> Reliabilities:
+             trust: float = 0.05, rounds: int = 200, most_false: float = 1.0) -> Reliabilities:
     """Reliabilities of all rules by EM.
 
     It starts from ``believed`` and keeps it as pseudo-counts worth ``trust`` of all patterns, so that a rule that hardly ever votes
-    stays near its belief and the two classes cannot change places.
+    stays near its belief and the two classes cannot change places.  ``most_false`` bounds the chance of a negative vote on the positive
+    class.
     """
     total = sum(counts.values())
     now = Reliabilities(prior, tuple((tuple(b), tuple(g)) for b, g in believed))
@@ -48,6 +49,11 @@ def estimate(counts: Mapping[tuple[int, ...], float], prior: float, believed: Se
             for rule, vote in zip(mass, votes):
                 rule[0][vote + 1] += n * (1 - good)
                 rule[1][vote + 1] += n * good
+        for _, chances in mass:
+            least = chances[0] * (1 - most_false) / most_false - chances[1] - chances[2]
+            if least > 0:  # the bound holds: the other votes get the rest in their proportion
+                share = (chances[1] + chances[2] + least) / (chances[1] + chances[2])
+                chances[1:] = [chances[1] * share, chances[2] * share]
         given = tuple(tuple(tuple(m / sum(chances) for m in chances) for chances in rule) for rule in mass)
         after = Reliabilities(positive / (total + weight), given)
         moved = abs(after.prior - now.prior)
