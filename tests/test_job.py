@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from triagelake import (
     TriageOptions,
+    detect_risks,
+    extract_iocs,
+    ingest_reports,
     keyed,
     normalize_reports,
     prepare_requests,
@@ -71,6 +74,60 @@ def test_unusable_limits_give_error_assessments(reports, responses):
     assert len(rows) == 4 and {r.error_type for r in rows} == {"module_exception"}
 
 
+def test_infinite_limits_are_unusable():
+    options = TriageOptions.from_mapping({"enabled": "on", "max_processes": float("inf"), "max_tokens": float("nan")})
+    assert not options.usable and options.max_tokens == TriageOptions().max_tokens
+
+
+def test_unreadable_reports_get_no_request_but_an_assessment(spark, responses, tmp_path):
+    rows = [("a", "{}"), ("b", '{"cut": '), ("dup", "{}"), ("dup", "nope"), (None, "nope")]
+    reports = ingest_reports(spark.createDataFrame(rows, "task_id string, raw string"), str(tmp_path / "reports"))
+    options = TriageOptions(enabled=True, attach_to_results=True)
+    publish_evidence(reports, str(tmp_path / "evidence"), options)
+    evidence = spark.read.parquet(str(tmp_path / "evidence" / "evidence"))
+    assert sorted(r.task_id for r in prepare_requests(None, options, evidence).collect()) == ["a", "dup"]
+    result = run_triage(reports, responses, options, evidence=evidence, ingested=True)
+    found = {r.task_id: (r.status, r.error_type) for r in result.assessments.collect()}
+    assert len(found) == 4 and found["a"] == ("ok", "") and found["dup"][0] == "x"
+    assert [e for t, (_, e) in found.items() if t not in ("a", "dup")] == ["module_exception"] * 2
+    assert result.attached.count() == 5
+    result.release()
+    assert not list((tmp_path / "reports").parent.glob("assessments-*"))
+
+
+def test_pairing_reads_ids_only(spark, reports, responses, tmp_path):
+    from triagelake import assess
+
+    stored = ingest_reports(reports, str(tmp_path / "reports"))
+    responses.write.parquet(str(tmp_path / "replies"))
+    plan = plan_of(assess(stored, spark.read.parquet(str(tmp_path / "replies")), TriageOptions(enabled=True)))
+    assert "ReadSchema: struct<task_id:string>" in plan and "raw" not in plan
+
+
+def test_shared_folder_needs_a_setting_on_a_cluster(spark):
+    from types import SimpleNamespace
+
+    from triagelake.sources.session import shared_folder
+
+    def session(master):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master=master, applicationId=f"app-{master}"))
+
+    assert shared_folder(session("yarn"), "/given/") == "/given"
+    assert shared_folder(session("local[4]")) == shared_folder(session("local[4]"))
+    for master in ("yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_folder(session(master))
+
+
+def test_risks_and_indicators_from_stored_evidence(spark, tmp_path):
+    raw = json.dumps({"behavior": {"summary": {"executed_commands": ["whoami"], "files": ["f"]}}})
+    rows = spark.createDataFrame([("t", raw)], "task_id string, raw string")
+    publish_evidence(rows, str(tmp_path), TriageOptions())
+    evidence = spark.read.parquet(str(tmp_path / "evidence"))
+    assert [r.title for r in detect_risks(evidence).first().risk_indicators] == ["Discovery commands detected"]
+    assert extract_iocs(evidence).first().file_paths == ["f"]
+
+
 def test_published_tables(spark, reports, tmp_path):
     written = publish_evidence(reports, str(tmp_path), TriageOptions())
     assert set(written.values()) == {"written"} and len(written) == 10
@@ -81,6 +138,7 @@ def test_sources(spark, tmp_path):
     for task in ("11", "12"):
         folder = tmp_path / "analyses" / task / "reports"
         folder.mkdir(parents=True)
+        (folder / "llm_summary.json").write_text('{"status": "ok"}')
         (folder / "report.json").write_text('{"info":\n {"id": %s}}' % task)
     rows = read_reports(spark, str(tmp_path / "analyses")).collect()
     assert {r.task_id for r in rows} == {"11", "12"} and all(json.loads(r.raw) for r in rows)
@@ -93,10 +151,10 @@ def test_sources(spark, tmp_path):
 def test_streams_write_each_row_once(spark, reports, responses, tmp_path):
     for at, part in enumerate((reports.where("task_id = 'a'"), reports.where("task_id = 'b'"))):
         part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-        stream_evidence(arriving(spark, str(tmp_path / "in"), REPORTS), str(tmp_path / "out"), "evidence-test").awaitTermination(120)
+        stream_evidence(arriving(spark, str(tmp_path / "in"), REPORTS), str(tmp_path / "out"), str(tmp_path / "progress")).awaitTermination(120)
         assert spark.read.parquet(str(tmp_path / "out")).count() == at + 1
     responses.write.parquet(str(tmp_path / "replies"))
-    stream_assessments(arriving(spark, str(tmp_path / "replies"), RESPONSES), str(tmp_path / "done"), "replies-test").awaitTermination(120)
+    stream_assessments(arriving(spark, str(tmp_path / "replies"), RESPONSES), str(tmp_path / "done"), str(tmp_path / "progress-2")).awaitTermination(120)
     assert spark.read.parquet(str(tmp_path / "done")).count() == 3
 
 
@@ -109,11 +167,11 @@ def test_evidence_needs_no_shuffle_and_computes_once(spark, tmp_path, reports):
     evidence = normalize_reports(spark.read.parquet(str(tmp_path / "reports")))
     for build in (tables.risks, tables.iocs, tables.signatures, tables.process_highlights, tables.network_highlights):
         plan = plan_of(build(evidence))
-        assert "Exchange" not in plan and plan.count("parseJson") == 1
+        assert "Exchange" not in plan and plan.count("parseJson") == 2  # the second reading is for texts that the first refuses
         # No filter inferred for the explode: it would inline the whole computation below the parse.
         assert "Filter (" not in plan
     scores = plan_of(tables.scores(evidence))
-    assert "regexp_replace" not in scores and "behavior.summary" not in scores
+    assert "code_block" not in scores and "behavior.summary" not in scores
 
 
 def test_long_lists_against_brute_force_with_a_hot_group(spark):
@@ -134,6 +192,14 @@ def test_long_lists_against_brute_force_with_a_hot_group(spark):
     assert plan_of(artifacts.first_n(table, "g", "p", 5)).count("WindowGroupLimit") == 2
 
 
+def test_large_limits_cut_hot_groups_in_parts(spark):
+    rows = spark.range(20_000).select((F.col("id") % 3 == 0).cast("int").alias("g"), F.col("id").alias("p"))
+    first = artifacts.first_n(rows, "g", "p", 5000)
+    found = {r.g: (r.n, r.low, r.high) for r in first.groupBy("g").agg(F.count("*").alias("n"), F.min("rank").alias("low"), F.max("p").alias("high")).collect()}
+    assert found == {0: (5000, 1, 7499), 1: (5000, 1, 14997)}
+    assert "__bucket" in plan_of(first) and first.columns == ["g", "p", "rank"]
+
+
 def test_hot_task_in_attach_keeps_all_rows(spark, responses):
     many = spark.range(2000).select(F.lit("a").alias("task_id"), F.concat(F.lit('{"n":'), F.col("id"), F.lit("}")).alias("raw"))
     result = run_triage(many, responses, TriageOptions(enabled=True, attach_to_results=True))

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from triagelake.functions.sql import lit
 from triagelake.functions.text import sanitize
+from triagelake.functions.variants import strip
 
 
 def or_empty(values: str) -> str:
@@ -13,8 +14,8 @@ def or_empty(values: str) -> str:
 
 
 def dedupe_first_seen(values: str) -> str:
-    """Trimmed, non-empty, distinct strings in order of first appearance."""
-    return f"array_distinct(filter(transform({values}, t -> trim(t)), t -> t <> ''))"
+    """Distinct strings without white space around them, in order of first appearance; blank ones are left out."""
+    return f"array_distinct(filter(transform({values}, t -> {strip('t')}), t -> t <> ''))"
 
 
 def first_n(values: str, limit: int) -> str:
@@ -22,8 +23,13 @@ def first_n(values: str, limit: int) -> str:
 
 
 def sanitize_texts(texts: str, max_len: int, redact: bool, limit: int | None = None) -> str:
-    """Sanitise each string of an ARRAY<STRING>, then drop repeats, then cut; NULL gives []."""
-    cleaned = dedupe_first_seen(f"transform({texts}, st -> {sanitize('st', max_len, redact)})")
+    """Sanitise each string of an ARRAY<STRING>, then drop repeats, then cut; NULL gives [].
+
+    Equal texts stay equal when cleaned, so repeats are dropped before the costly cleaning too; their order is the same.  Cleaned
+    text holds no white space but single spaces.
+    """
+    clean = f"transform(array_distinct({texts}), st -> trim({sanitize('st', max_len, redact)}))"
+    cleaned = f"array_distinct(filter({clean}, st -> st <> ''))"
     return or_empty(cleaned if limit is None else first_n(cleaned, limit))
 
 

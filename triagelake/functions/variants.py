@@ -83,9 +83,13 @@ def first_truthy(first: str, second: str) -> str:
 
 
 def _with_fraction(value: str) -> str:
-    """Plain text in which 1.0, stored as a whole decimal, has its fraction back; longer digit runs are integers."""
+    """Plain text in which 1.0, stored as a whole decimal, has its fraction back.
+
+    A whole decimal in the range of BIGINT was written with a fraction, as integers of that range are stored as BIGINT; beyond it
+    the digits are those of an integer.
+    """
     text = plain_text(value)
-    whole = f"{kind(value)} LIKE 'DECIMAL%' AND NOT contains({text}, '.') AND length({text}) < 19"
+    whole = f"{kind(value)} LIKE 'DECIMAL%' AND NOT contains({text}, '.') AND try_cast({text} AS bigint) IS NOT NULL"
     return case((whole, f"concat({text}, '.0')"), otherwise=text)
 
 
@@ -159,10 +163,15 @@ def wrapped_json(text: str) -> str:
 
 
 def named_numbers(text: str) -> str:
-    """Quote bare NaN and Infinity values so that a document using them still parses."""
+    """Quote bare NaN and Infinity values, but not those inside strings, so that a document using them still parses.
+
+    One pass marks the end of each string and puts the mark alone in the place of each bare name; the mark is a control character
+    that no JSON text holds.
+    """
     for literal, quoted in (("NaN", "nan"), ("-Infinity", "-inf"), ("Infinity", "inf")):
-        pattern = rf"(?<=[\[,:\s]){literal}(?=\s*(?:[,\]}}]|$))"
-        text = f"regexp_replace({text}, {lit(pattern)}, {lit(chr(34) + quoted + chr(34))})"
+        pattern = rf"(\"(?:[^\"\\]++|\\.)*+\")|(?<=[\[,:\s]){literal}(?=\s*(?:[,\]}}]|$))"
+        marked = f"regexp_replace({text}, {lit(pattern)}, {lit('$1' + chr(1))})"
+        text = f"replace(replace({marked}, {lit(chr(34) + chr(1))}, {lit(chr(34))}), {lit(chr(1))}, {lit(chr(34) + quoted + chr(34))})"
     return text
 
 

@@ -91,11 +91,32 @@ def system_binary_findings() -> str:
     return f"transform({hits}, p -> {_finding(*SYSTEM_BINARY_FINDING, 'substring(p.id, 1, 60)')})"
 
 
-def risk_indicators(evidence: DataFrame) -> DataFrame:
-    """Add the numbered findings of all rules, in rule order."""
-    texts = evidence.selectExpr(
+def rule_findings(rule: str) -> str:
+    """Findings of one rule: of a keyword rule, ``injection`` or ``system_binaries``."""
+    if rule == "injection":
+        return injection_findings()
+    return system_binary_findings() if rule == "system_binaries" else keyword_findings(rule)
+
+
+def _with_texts(evidence: DataFrame) -> DataFrame:
+    return evidence.selectExpr(
         "*", *(f"{joined_text(f'behavior_summary.{name}')} AS text_{name}" for name in ("keys", "executed_commands"))
     )
+
+
+def findings_of(evidence: DataFrame, rule: str) -> DataFrame:
+    """``task_id`` and the findings of one rule on evidence; only the lists that the rule looks at are read."""
+    return _with_texts(evidence).selectExpr("task_id", f"inline({rule_findings(rule)})")
+
+
+def detect_risks(evidence: DataFrame) -> DataFrame:
+    """Evidence, stored or not, with its findings made anew."""
+    return risk_indicators(evidence.drop("risk_indicators"))
+
+
+def risk_indicators(evidence: DataFrame) -> DataFrame:
+    """Add the numbered findings of all rules, in rule order."""
+    texts = _with_texts(evidence)
     findings = ", ".join([*map(keyword_findings, KEYWORD_RULES), injection_findings(), system_binary_findings()])
     fields = ("title", "severity", "reason", "evidence_ref")
     row = struct(**{name: f"r.{name}" for name in fields}, id=numbered("risk_", "i"))

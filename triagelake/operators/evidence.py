@@ -7,6 +7,7 @@ a query that needs only one area prunes the others, and every list is cut before
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from triagelake.functions.lists import (
     dedupe_first_seen,
@@ -18,7 +19,7 @@ from triagelake.functions.lists import (
     sorted_distinct,
 )
 from triagelake.functions.pyformat import spaced_json
-from triagelake.functions.sql import array, case, lits, struct
+from triagelake.functions.sql import array, case, lit, lits, struct
 from triagelake.functions.text import canonical_domain, canonical_ip, canonical_url, is_hash, sanitize
 from triagelake.functions.variants import (
     ANY_LIST,
@@ -31,6 +32,7 @@ from triagelake.functions.variants import (
     first_truthy,
     is_record,
     kind,
+    named_numbers,
     struct_type,
     truthy,
     typed_at,
@@ -81,6 +83,31 @@ ORDERED_TEXT = (
 )
 
 
+# What became of a report's text. The parser takes neither texts nor single strings beyond its size limits nor very deep nesting.
+READ, NOT_JSON, TOO_LARGE, NOT_OBJECT = "ok", "not_json", "too_large", "not_object"
+READABLE = (READ, NOT_OBJECT)
+#: Bytes from which an unread text counts as too large: the parser's limit for one string.
+LARGE = 20_000_000
+
+
+def read_reports_json(reports: DataFrame) -> DataFrame:
+    """``task_id, raw, doc, read_status`` of each report.
+
+    A text with bare NaN or Infinity, which Python writes by default, is read again with these quoted.  ``not_json`` covers missing,
+    cut and too deeply nested texts.  Valid JSON that is no object holds no evidence, but is no failure.
+    """
+    spelled = "doc_0 IS NULL AND (contains(raw, 'NaN') OR contains(raw, 'Infinity'))"
+    first = reports.selectExpr("task_id", "raw", "try_parse_json(raw) AS doc_0")
+    named = first.selectExpr("task_id", f"{case((spelled, named_numbers('raw')), otherwise='raw')} AS raw", "doc_0")
+    doc = case(("doc_0 IS NULL", "try_parse_json(raw)"), otherwise="doc_0")
+    read = named.selectExpr("task_id", "raw", f"{doc} AS doc")
+    status = case(
+        (f"doc IS NULL AND octet_length(raw) > {LARGE}", lit(TOO_LARGE)), ("doc IS NULL", lit(NOT_JSON)),
+        (is_record("doc"), lit(READ)), otherwise=lit(NOT_OBJECT),
+    )
+    return read.selectExpr("task_id", "raw", "doc", f"{status} AS read_status")
+
+
 def _areas(reports: DataFrame) -> DataFrame:
     """Guarded view of each report area; a wrongly typed node is NULL."""
     file = struct_type(*FILE_FIELDS)
@@ -100,8 +127,7 @@ def _areas(reports: DataFrame) -> DataFrame:
         "ordered": f"from_json(raw, '{ORDERED_TEXT}')",
         **{f"config_text_{i}": f"get_json_object(raw, '$.{key}')" for i, key in enumerate(CONFIG_KEYS)},
     }
-    parsed = reports.selectExpr("task_id", "raw", "try_parse_json(raw) AS doc")
-    return parsed.selectExpr("task_id", *_named(areas))
+    return read_reports_json(reports).selectExpr("task_id", "read_status", *_named(areas))
 
 
 def _named(expressions: dict[str, str]) -> list[str]:
@@ -242,7 +268,11 @@ def _config() -> str:
 
 
 def normalize_reports(reports: DataFrame, options: TriageOptions = TriageOptions()) -> DataFrame:
-    """Evidence of each report. ``reports`` needs ``task_id`` and the report JSON in ``raw``."""
+    """Evidence of each report. ``reports`` needs ``task_id`` and the report JSON in ``raw``.
+
+    ``read_status`` tells whether the evidence stands for the report; unless it is one of READABLE, the report could not be read, its
+    evidence is empty, and no request must be made of it.
+    """
     areas = _areas(reports)
     for step in (_behavior, _processes, _signatures, _iocs, _network):
         areas = step(areas, options)
@@ -268,4 +298,19 @@ def normalize_reports(reports: DataFrame, options: TriageOptions = TriageOptions
         "risk_indicators": "risk_indicators",
         "raw_evidence_refs": f"array({lits(*EVIDENCE_REFS)})",
     }
-    return risk_indicators(areas).selectExpr("task_id", *_named(columns))
+    return risk_indicators(areas).selectExpr("task_id", "read_status", *_named(columns))
+
+
+def extract_iocs(evidence: DataFrame) -> DataFrame:
+    """``task_id`` and the indicator candidates by kind, from evidence, stored or not."""
+    return evidence.selectExpr("task_id", "ioc_candidates.*")
+
+
+def readable(evidence: DataFrame) -> DataFrame:
+    """Evidence of the reports that could be read."""
+    return evidence.where(F.col("read_status").isin(*READABLE))
+
+
+def unreadable(evidence: DataFrame) -> DataFrame:
+    """``task_id, read_status`` of the reports that could not be read: what to look at by hand."""
+    return evidence.where(~F.col("read_status").isin(*READABLE)).select("task_id", "read_status")

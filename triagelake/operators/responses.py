@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from triagelake.functions.sql import case, let, lit, struct
+from triagelake.functions.sql import case, let, lit, lits, struct
 from triagelake.functions.variants import is_record, is_text, plain_text, strict_json, strip, truthy, typed_at
 
 # Fixed value: the one provider whose replies are understood.
@@ -13,6 +13,8 @@ PROVIDER = "openai_compatible"
 
 # What can go wrong between sending a prompt and getting text back. `details` holds a status code or a reason.
 TRANSPORT_ERRORS = ("timeout", "http_error", "connection_error", "io_error")
+# What the classification itself finds wrong; NO_RESPONSE and unsupported_provider complete the vocabulary.
+REPLY_ERRORS = ("invalid_response", "empty_response", "empty_content")
 
 # Our own code for a report that no reply was found for.
 NO_RESPONSE = "no_response"
@@ -51,8 +53,10 @@ def _classified(rows: DataFrame) -> DataFrame:
 
     A filter on the outcome, which Spark copies down to the scan, then repeats the work once and not once per mention.
     """
+    known = f"transport_error IN ({lits(*TRANSPORT_ERRORS, NO_RESPONSE)})"
     error = case(
-        ("transport_error IS NOT NULL", "transport_error"),
+        # A name outside the vocabulary would pass for a cause that nothing downstream knows.
+        ("transport_error IS NOT NULL", case((known, "transport_error"), otherwise="'io_error'")),
         ("envelope IS NULL", "'invalid_response'"),
         ("choice IS NULL", "'empty_response'"),
         ("broken", "NULL"),
@@ -83,31 +87,43 @@ def _misplaced(value: str) -> str:
     return f"({value} IS NOT NULL AND NOT {is_record(value)} AND {truthy(value)})"
 
 
-def one_per_task(responses: DataFrame) -> DataFrame:
-    """At most one reply per task: a delivered one before a failed one, then the smallest text.
+#: The better a reply turned out, the lower its rank.
+RANKS = {OK: 0, FAILED: 1, BROKEN: 2}
 
-    ``min`` combines on the map side, so a task that holds a large share of all replies costs one row per map task.
+
+def best_replies(responses: DataFrame, provider: str = PROVIDER) -> DataFrame:
+    """Of the replies of each task the best one, classified, with the number of ``replies`` that there were.
+
+    A usable reply beats a failed one, and that one a broken one; among equals a checksum of the reply decides.  Rank and checksum are
+    one number of fixed width, which is combined by hash before the shuffle: a task that holds a large share of all replies costs one
+    row per map task, and no reply text is sorted for it.
     """
-    detail = _optional(responses, "transport_detail")
-    rank = F.struct(
-        F.col("transport_error").isNotNull().alias("lost"), F.col("body").isNull().alias("empty"),
-        F.col("body"), F.col("transport_error"), detail.alias("transport_detail"),
-    )
-    best = responses.where(F.col("task_id").isNotNull()).groupBy("task_id").agg(F.min(rank).alias("best"))
-    return best.select("task_id", "best.body", "best.transport_error", "best.transport_detail")
+    named = responses.where(F.col("task_id").isNotNull())
+    rank = F.element_at(F.create_map(*(F.lit(x) for pair in RANKS.items() for x in pair)), F.col("outcome"))
+    marked = classify_responses(named, provider).withColumn("checksum", F.xxhash64("error", "details", "content"))
+    # 60 bits of the checksum below the rank.
+    code = F.shiftleft(rank.cast("long"), 60).bitwiseOR(F.shiftrightunsigned("checksum", 4))
+    marked = marked.select("task_id", "outcome", "error", "details", "content", code.alias("code"))
+    best = marked.groupBy("task_id").agg(F.min("code").alias("code"), F.count(F.lit(1)).alias("replies"))
+    # Replies that are the same in all respects are still there; any one of them stands for the others.
+    return marked.join(best, ["task_id", "code"]).dropDuplicates(["task_id"]).drop("code")
 
 
 def pair_responses(tasks: DataFrame, responses: DataFrame, provider: str = PROVIDER) -> DataFrame:
     """Classified reply of every distinct task of ``tasks``; a task without a reply fails with ``no_response``.
 
-    Only the key of ``tasks`` takes part.  Both sides are reduced to one row per key by aggregations that leave them
-    partitioned on the key, so the join adds no shuffle and no key can be hot.  A NULL key stays one row without a reply.
+    Only the key of ``tasks`` takes part, and it is reduced to one row per task before the join, so no key is hot.  A NULL key stays one
+    row without a reply.  ``dropped`` tells how many further replies of the task were left out.
     """
     keys = tasks.select("task_id").distinct()
-    replies = one_per_task(responses).withColumn("found", F.lit(True))
-    joined = keys.join(replies, "task_id", "left")
-    missing = F.col("found").isNull()
-    return classify_responses(
-        joined.withColumn("transport_error", F.when(missing, F.lit(NO_RESPONSE)).otherwise(F.col("transport_error"))),
-        provider,
+    joined = keys.join(best_replies(responses, provider), "task_id", "left")
+    missing = F.col("replies").isNull()
+    unanswered = "unsupported_provider" if provider != PROVIDER else NO_RESPONSE
+    return joined.select(
+        "task_id",
+        F.when(missing, F.lit(FAILED)).otherwise(F.col("outcome")).alias("outcome"),
+        F.when(missing, F.lit(unanswered)).otherwise(F.col("error")).alias("error"),
+        F.when(missing & F.lit(provider != PROVIDER), F.lit(provider)).otherwise(F.col("details")).alias("details"),
+        "content",
+        F.coalesce(F.col("replies") - 1, F.lit(0)).cast("long").alias("dropped"),
     )

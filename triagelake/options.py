@@ -17,7 +17,7 @@ def _flag(value: Any) -> bool:
 def _number(kind: type, value: Any, default: Any) -> Any:
     try:
         return kind(value)
-    except (TypeError, ValueError):
+    except (TypeError, ValueError, OverflowError):
         return default
 
 

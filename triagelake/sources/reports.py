@@ -12,8 +12,8 @@ def _task_from_path(path: Column) -> Column:
     return F.when(folder != "", folder).otherwise(F.regexp_extract(path, r"([^/]+?)(?:\.[A-Za-z0-9]+)?$", 1))
 
 
-def read_reports(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
-    """``task_id, raw`` from a folder tree with one report per file."""
+def read_reports(spark: SparkSession, path: str, pattern: str = "report.json") -> DataFrame:
+    """``task_id, raw`` from a folder tree with one report per file; other JSON files beside the reports are left alone."""
     files = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=pattern)
     return files.select(_task_from_path(F.col("_metadata.file_path")).alias("task_id"), F.col("value").alias("raw"))
 

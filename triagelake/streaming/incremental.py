@@ -15,7 +15,8 @@ from triagelake.operators.assessments import validate_replies
 from triagelake.operators.evidence import normalize_reports
 from triagelake.operators.responses import PROVIDER, classify_responses
 from triagelake.options import TriageOptions
-from triagelake.sources.session import configure, shared_folder
+from triagelake.sources.reports import keyed
+from triagelake.sources.session import configure
 
 REPORTS = "task_id string, raw string"
 RESPONSES = "task_id string, body string, transport_error string"
@@ -27,8 +28,7 @@ def arriving(spark: SparkSession, path: str, schema: str, files_per_batch: int =
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
-def _write(rows: DataFrame, path: str, name: str) -> StreamingQuery:
-    progress = f"{shared_folder(rows.sparkSession)}/streams/{name}"
+def _write(rows: DataFrame, path: str, progress: str) -> StreamingQuery:
     return (
         rows.writeStream.format("parquet").outputMode("append").option("checkpointLocation", progress)
         .trigger(availableNow=True).start(path)
@@ -36,14 +36,17 @@ def _write(rows: DataFrame, path: str, name: str) -> StreamingQuery:
 
 
 def stream_evidence(
-    reports: DataFrame, path: str, name: str, options: TriageOptions = TriageOptions()
+    reports: DataFrame, path: str, progress: str, options: TriageOptions = TriageOptions()
 ) -> StreamingQuery:
-    """Append the evidence of newly arrived reports to ``path``; ``name`` identifies the stream across restarts."""
-    return _write(normalize_reports(reports, options), path, name)
+    """Append the evidence of newly arrived reports to ``path``.
+
+    ``progress`` is a folder that outlives the session: a restart with the same folder goes on where the stream stopped.
+    """
+    return _write(normalize_reports(keyed(reports), options), path, progress)
 
 
 def stream_assessments(
-    responses: DataFrame, path: str, name: str, provider: str = PROVIDER, metadata: Mapping[str, str] | None = None
+    responses: DataFrame, path: str, progress: str, provider: str = PROVIDER, metadata: Mapping[str, str] | None = None
 ) -> StreamingQuery:
     """Append the assessments of newly arrived replies to ``path``."""
-    return _write(validate_replies(classify_responses(responses, provider), metadata), path, name)
+    return _write(validate_replies(classify_responses(responses, provider), metadata), path, progress)

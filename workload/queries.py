@@ -3,25 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from triagelake.functions import text as texts
 from triagelake.functions.lists import first_n, sorted_distinct
 from triagelake.functions.lists import dedupe_first_seen as distinct_in_order
-from triagelake.functions.variants import clamp_unit, strict_json
+from triagelake.functions.variants import clamp_unit, strict_json, typed_at
 from triagelake.operators import artifacts, tables
 from triagelake.operators.assessments import TEAMS, json_blob, spread_entries, spread_lists, validate_replies
+from triagelake.operators.detectors import findings_of
 from triagelake.operators.evidence import IOC_KINDS, normalize_reports
 from triagelake.operators.markdown import render_markdown
 from triagelake.operators.prompts import build_prompts, evidence_packages, request_payloads
 from triagelake.operators.responses import classify_responses, pair_responses
 from triagelake.options import TriageOptions
-from triagelake.plans.job import assess, run_triage
-from triagelake.sources.outputs import ATTACHED_COLUMN, JSON_DATASET, attach_assessments
-from triagelake.sources.session import configure, shared_folder
+from triagelake.plans.job import run_triage
+from triagelake.sources.outputs import ATTACHED_COLUMN, JSON_DATASET, MARKDOWN_DATASET
+from triagelake.sources.reports import read_report_lines
+from triagelake.sources.session import configure, fresh_path
 from workload.derived import page_reports, reports_raw, responses_raw, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,18 +34,23 @@ WIDE = TriageOptions(max_input_events=300)
 
 # Text functions ---------------------------------------------------------------------------------------------------------
 
+def _sanitized(rows: DataFrame, keys: tuple[str, ...], text: str, size: int, redact: bool) -> DataFrame:
+    """The clean text cut to ``size``, and the checksum of all of it before account names are hidden."""
+    whole = rows.selectExpr(*keys, f"{texts.sanitize(text, 1_000_000_000, redact=False)} AS whole")
+    shown = texts.redact_paths("whole") if redact else "whole"
+    return whole.selectExpr(*keys, f"substring({shown}, 1, {size}) AS clean", "md5(whole) AS whole_text")
+
+
 def sanitize_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    full = texts.sanitize("text", 1_000_000_000, redact=False)
-    return table(spark, sf_dir, "documents").selectExpr(
-        "doc_id", f"{texts.sanitize('text', 256)} AS clean", f"md5({full}) AS whole_text")
+    return _sanitized(table(spark, sf_dir, "documents"), ("doc_id",), "text", 256, True)
 
 
 def sanitize_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "conversations").selectExpr("conv_id", "turn", f"{texts.sanitize('text', 180)} AS clean")
+    return _sanitized(table(spark, sf_dir, "conversations"), ("conv_id", "turn"), "text", 180, True)
 
 
 def sanitize_pages_html(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").selectExpr("page_id", f"{texts.sanitize('html', 320, redact=False)} AS clean")
+    return _sanitized(table(spark, sf_dir, "pages"), ("page_id",), "html", 320, False)
 
 
 def redact_user_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,7 +118,11 @@ def attack_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 # List operators ---------------------------------------------------------------------------------------------------------
 
 def dedupe_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return artifacts.dedupe_first_seen(table(spark, sf_dir, "events"), "user_id", "props", "event_id")
+    """Values with white space of all kinds around them, and blank ones."""
+    around = F.element_at(F.array(*(F.lit(x) for x in ("", "\t", " \n", "\u2003", "\r\x1f"))), (F.col("event_id") % 5 + 1).cast("int"))
+    value = F.when(F.col("event_id") % 11 == 0, around).otherwise(F.concat(around, F.col("props"), around))
+    rows = table(spark, sf_dir, "events").select("user_id", "event_id", value.alias("props"))
+    return artifacts.dedupe_first_seen(rows, "user_id", "props", "event_id")
 
 
 def first_n_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,14 +155,36 @@ def _evidence_table(build: Callable[[DataFrame], DataFrame], options: TriageOpti
     return query
 
 
-def _one_risk(title: str, options: TriageOptions = TriageOptions()) -> Query:
+def _one_risk(rule: str, options: TriageOptions = TriageOptions()) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        found = tables.risks(evidence(spark, sf_dir, options)).where(F.col("title") == title)
-        return found.select("task_id", "title", "severity", "reason", "evidence_ref")
+        return findings_of(evidence(spark, sf_dir, options), rule)
 
     return query
 
 
+def report_read_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What becomes of reports that hold bare NaN, are cut, too deep, no object, or missing."""
+    pages = page_reports(configure(spark), sf_dir)
+    kind, rest = F.substring("task_id", F.lit(2), F.lit(18)).cast("long") % 8, F.substring("raw", F.lit(2), F.length("raw"))
+    raw = (
+        F.when(kind == 1, F.concat(F.lit('{"malscore":NaN,'), rest)).when(kind == 2, F.substring("raw", F.lit(1), F.length("raw") - 1))
+        .when(kind == 3, F.concat(F.lit("["), F.col("raw"), F.lit("]")))
+        .when(kind == 4, F.lit("[" * 1200 + "]" * 1200)).when(kind == 5, F.lit("5"))
+        .when(kind == 7, F.concat(F.lit('{"note":"x, NaN, \\"y","limit":[-Infinity,Infinity],'), rest)).when(kind != 6, F.col("raw"))
+    )
+    found = normalize_reports(pages.select("task_id", raw.alias("raw")))
+    return found.select("task_id", "read_status", F.col("high_level_scores.signature_count").alias("signature_count"),
+                        F.size("ioc_candidates.domains").alias("domains"))
+
+
+def report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports written as lines and read back by the line reader."""
+    path = fresh_path(configure(spark), "report-lines")
+    reports = reports_raw(spark, sf_dir)
+    reports.where("task_id LIKE 'u%'").select("raw").write.text(path)
+    return tables.scores(normalize_reports(read_report_lines(spark, path)))
+
+
 def evidence_packages_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evidence_packages(evidence(spark, sf_dir))
 
@@ -189,11 +221,31 @@ def paired_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paired.select("task_id", "outcome", "error", "details")
 
 
+def paired_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tasks with a second and a third reply: an error page, an empty answer, or a timeout beside the first one."""
+    spark = configure(spark)
+    first = responses_raw(spark, sf_dir)
+    d = F.substring("task_id", F.lit(2), F.lit(18)).cast("long")
+    doubled = first.where(~((d / 8).cast("long") % 10).isin(5, 6, 7) & (d % 8 != 7))
+    none = F.lit(None).cast("string")
+    extra = [
+        doubled.where(d % 3 == 0).select("task_id", F.lit("<html>502</html>").alias("body"), none.alias("transport_error"), none.alias("transport_detail")),
+        doubled.where(d % 3 == 1).select("task_id", F.lit('{"choices":[]}').alias("body"), none.alias("transport_error"), none.alias("transport_detail")),
+        doubled.where(d % 3 == 2).select("task_id", none.alias("body"), F.lit("timeout").alias("transport_error"), none.alias("transport_detail")),
+    ]
+    replies_ = first.unionByName(extra[0]).unionByName(extra[0]).unionByName(extra[1]).unionByName(extra[2])
+    paired = pair_responses(first, replies_)
+    return paired.select("task_id", "outcome", "error", "dropped")
+
+
 def json_blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    blobs = classify_responses(replies(spark, sf_dir)).where("outcome = 'ok'").selectExpr(
-        "task_id", f"{json_blob('content')} AS blob")
-    return blobs.selectExpr("task_id", f"{strict_json('blob')} IS NOT NULL AS is_json", "left(blob, 1) AS first",
-                            "right(blob, 1) AS last")
+    # CASE in place of a filter, which would be pushed below the classification and repeat it.
+    blobs = classify_responses(replies(spark, sf_dir)).selectExpr(
+        "task_id", f"CASE WHEN outcome = 'ok' THEN {json_blob('content')} END AS blob")
+    parsed = blobs.selectExpr("task_id", "blob", f"{strict_json('blob')} AS doc")
+    title = typed_at("doc", "$.key_findings[0].title", "string")
+    return parsed.selectExpr("task_id", "doc IS NOT NULL AS is_json", "left(blob, 1) AS first", "right(blob, 1) AS last",
+                             f"md5({title}) AS title_text")
 
 
 def assessments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -255,22 +307,41 @@ def markdown_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def attached_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark = configure(spark)
-    reports = reports_raw(spark, sf_dir)
-    attached = attach_assessments(reports, assess(reports, responses_raw(spark, sf_dir), JOB))
-    assessment = F.col(ATTACHED_COLUMN)
-    return attached.select(
-        "task_id", F.length("raw").isNotNull().alias("has_report"), assessment["status"].alias("status"),
-        assessment["error_type"].alias("error_type"), assessment["message"].alias("message"),
-        assessment["verdict"]["severity"].alias("severity"))
+    result = run_triage(reports_raw(spark, sf_dir), responses_raw(spark, sf_dir), JOB, ingested=True)
+    found = result.attached.withColumn("a", F.col(ATTACHED_COLUMN))
+    return found.select("task_id", F.length("raw").isNotNull().alias("has_report"), *_shown("a."))
+
+
+def _shown(prefix: str = "") -> list[Column]:
+    """What is compared of each field of an assessment."""
+    plain = ("status", "error_type", "message")
+    lists = {"n_facts": "observed_facts", "n_flow": "attack_flow", "n_findings": "key_findings", "n_families": "verdict.family_hypotheses",
+             "n_domains": "iocs.domains", "n_actions": "analyst_actions.soc"}
+    return [
+        *(F.col(f"{prefix}{name}").alias(name) for name in plain),
+        *(F.col(f"{prefix}verdict.{name}").alias(name) for name in ("severity", "is_malicious", "confidence")),
+        *(F.size(f"{prefix}{name}").alias(alias) for alias, name in lists.items()),
+        F.col(f"{prefix}model_metadata.model").alias("model"),
+    ]
 
 
 def saved_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The job's published JSON lines, read back."""
+    """The job's published JSON lines, read back with all their columns."""
+    spark = configure(spark)
+    path = fresh_path(spark, "saved-outputs")
+    result = run_triage(reports_raw(spark, sf_dir), responses_raw(spark, sf_dir), JOB, path, ingested=True)
+    saved = spark.read.schema(result.assessments.schema).json(f"{path}/{JSON_DATASET}")
+    result.release()
+    return saved.select("task_id", *_shown())
+
+
+def saved_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job's published Markdown for the tasks that have a reply, read back."""
     spark = configure(spark)
-    path = f"{shared_folder(spark)}/saved-outputs-{uuid4().hex}"
-    run_triage(reports_raw(spark, sf_dir), responses_raw(spark, sf_dir), JOB, path)
-    saved = spark.read.schema("task_id string, status string, error_type string, message string").json(f"{path}/{JSON_DATASET}")
-    return saved.select("task_id", "status", "error_type", "message")
+    path = fresh_path(spark, "saved-markdown")
+    answered = responses_raw(spark, sf_dir)
+    run_triage(answered.select("task_id", F.lit("{}").alias("raw")), answered, JOB, path, ingested=True).release()
+    return spark.read.parquet(f"{path}/{MARKDOWN_DATASET}")
 
 
 QUERIES: dict[str, Query] = {
@@ -298,14 +369,16 @@ QUERIES: dict[str, Query] = {
     "iocs": _evidence_table(tables.iocs),
     "network_highlights": _evidence_table(tables.network_highlights),
     "network_summary": _evidence_table(tables.network_summary),
-    "risk_persistence": _one_risk("Persistence behavior observed"),
-    "risk_discovery": _one_risk("Discovery commands detected"),
-    "risk_credential_access": _one_risk("Credential access hints"),
-    "risk_ransomware": _one_risk("Ransomware-like activity"),
-    "risk_ransomware_bulk_files": _one_risk("Ransomware-like activity", WIDE),
-    "risk_defense_evasion": _one_risk("Defense evasion behavior"),
-    "risk_injection": _one_risk("Process injection-like activity"),
-    "risk_lolbins": _one_risk("LOLBins execution"),
+    "report_read_status": report_read_status,
+    "report_lines": report_lines,
+    "risk_persistence": _one_risk("persistence"),
+    "risk_discovery": _one_risk("discovery"),
+    "risk_credential_access": _one_risk("credential_access"),
+    "risk_ransomware": _one_risk("ransomware"),
+    "risk_ransomware_bulk_files": _one_risk("ransomware", WIDE),
+    "risk_defense_evasion": _one_risk("defense_evasion"),
+    "risk_injection": _one_risk("injection"),
+    "risk_lolbins": _one_risk("system_binaries"),
     "risks": _evidence_table(tables.risks),
     "evidence_packages": evidence_packages_query,
     "page_evidence_packages": page_evidence_packages,
@@ -314,6 +387,7 @@ QUERIES: dict[str, Query] = {
     "response_status": response_status,
     "unsupported_provider": unsupported_provider,
     "paired_status": paired_status,
+    "paired_duplicates": paired_duplicates,
     "json_blobs": json_blobs,
     "assessment_status": assessment_status,
     "assessment_verdicts": assessment_verdicts,
@@ -329,4 +403,5 @@ QUERIES: dict[str, Query] = {
     "markdown_reports": markdown_reports,
     "attached_reports": attached_reports,
     "saved_outputs": saved_outputs,
+    "saved_markdown": saved_markdown,
 }
\ No newline at end of file
