@@ -1,7 +1,8 @@
 """Report and reply tables that Spark derives from the given tables, with faults planted on purpose.
 
 Reports: one per user and block of 16,384 event ids (task ``u<user>_<block>``), and one per page (task ``p<page>``).  The block
-bounds every report, so that a user with a third of all events has many reports and not one huge group.  Replies: one per
+bounds every report, so that a user with a third of all events has many reports and not one huge group; it drops no event, but a user
+of more than one block has several reports, and none is large.  Large reports are tested apart from these tables.  Replies: one per
 document (task ``p<document>``), so that some tasks get a reply and some do not.
 """
 
