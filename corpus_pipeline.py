@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from uuid import uuid4
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from triagelake.llm import exact_dedup, mixing, near_dedup, packing, toxicity
 from triagelake.llm.common import ship
-from triagelake.sources.session import shared_folder
+from triagelake.sources.session import fresh_path
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +52,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        path = f"{shared_folder(spark)}/pipeline-{name}-{uuid4().hex}"
+        path = fresh_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs

@@ -6,22 +6,18 @@ import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
-from uuid import uuid4
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from triagelake.sources.session import shared_folder
+from triagelake.sources.session import fresh_path, remove
 
 #: A word is a run of anything but ASCII white space; fixed by the contract of the queries.
 WORD = r"[^\x20\x09-\x0D]+"
-SPACES = " \t\n\x0b\f\r"
 
 _STORED: list[str] = []
-
-
 _SHIPPED: set[str] = set()
 
 
@@ -41,7 +37,7 @@ def ship(spark: SparkSession) -> SparkSession:
 def stored(rows: DataFrame, name: str) -> DataFrame:
     """Write ``rows`` to the shared folder and read them back, so that what follows starts from files that all executors see."""
     spark = rows.sparkSession
-    path = f"{shared_folder(spark)}/llm-{name}-{uuid4().hex}"
+    path = fresh_path(spark, f"llm-{name}")
     rows.write.parquet(path)
     _STORED.append(path)
     return spark.read.schema(rows.schema).parquet(path)
@@ -49,10 +45,8 @@ def stored(rows: DataFrame, name: str) -> DataFrame:
 
 def drop_stored(spark: SparkSession) -> None:
     """Delete the tables written so far; call it when no result that reads them is needed any more."""
-    jvm = spark.sparkContext._jvm
-    while _STORED:
-        path = jvm.org.apache.hadoop.fs.Path(_STORED.pop())
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    remove(spark, *_STORED)
+    _STORED.clear()
 
 
 def remainder(divisor: int, key: str = "doc_id") -> Column:
