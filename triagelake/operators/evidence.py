@@ -76,11 +76,11 @@ PROCESS = struct_type(
 )
 SIGNATURE = struct_type("name", "severity", "description", "ttp", "mitre", families=ANY_LIST)
 
-# Records are shown with their keys in document order, which VARIANT does not keep, so their text comes from a second reading.
-ORDERED_TEXT = (
-    "detections string, "
-    "network struct<http: array<string>, dns: array<string>, tcp: array<string>, udp: array<string>>"
-)
+# Records are shown with their keys in document order, which VARIANT does not keep, so their text comes from a second reading: one for
+# all of them.  The configuration keys differ by case only, so they are renamed by position.
+_TRAFFIC_TEXT = f"struct<{', '.join(f'{name}: array<string>' for name in TRAFFIC_LISTS)}>"
+ORDERED_TEXT = f"detections string, network {_TRAFFIC_TEXT}, {', '.join(f'{key} string' for key in CONFIG_KEYS)}"
+ORDERED = f"struct<detections: string, network: {_TRAFFIC_TEXT}, {', '.join(f'config_{i}: string' for i, _ in enumerate(CONFIG_KEYS))}>"
 
 
 # What became of a report's text. The parser takes neither texts nor single strings beyond its size limits nor very deep nesting.
@@ -124,8 +124,7 @@ def _areas(reports: DataFrame) -> DataFrame:
         "raw_hosts": typed_at("doc", "$.network.hosts", array_type(struct_type("ip"))),
         "raw_requests": typed_at("doc", "$.network.http", array_type(struct_type("uri", "url"))),
         **{f"raw_{name}": typed_at("doc", f"$.network.{name}", ANY_LIST) for name in TRAFFIC_LISTS},
-        "ordered": f"from_json(raw, '{ORDERED_TEXT}')",
-        **{f"config_text_{i}": f"get_json_object(raw, '$.{key}')" for i, key in enumerate(CONFIG_KEYS)},
+        "ordered": f"cast(from_json(raw, '{ORDERED_TEXT}') AS {ORDERED})",
     }
     return read_reports_json(reports).selectExpr("task_id", "read_status", *_named(areas))
 
@@ -264,7 +263,7 @@ def _records_only(value: str, text: str) -> str:
 def _config() -> str:
     """JSON text of the extracted configuration: the preferred key if it holds a non-empty object, else the other one."""
     filled = f"{is_record('config_0')} AND {kind('config_0')} <> 'OBJECT<>'"
-    return case((filled, spaced_json("config_text_0")), otherwise=_records_only("config_1", "config_text_1"))
+    return case((filled, spaced_json("ordered.config_0")), otherwise=_records_only("config_1", "ordered.config_1"))
 
 
 def normalize_reports(reports: DataFrame, options: TriageOptions = TriageOptions()) -> DataFrame:
