@@ -30,7 +30,7 @@ from triagelake.llm.common import WORD, stored
 
 BLOCKS = 1024
 #: More sources than this are an error: group them before mixing.
-MAX_SOURCES = 1_000_000
+MAX_SOURCES = 100_000
 #: Words that one task sorts when a shard is shuffled.
 PART_WORDS = 1_000_000
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -90,7 +90,8 @@ def _shares(sized: DataFrame, weights: tuple[float, ...]) -> DataFrame:
         raise ValueError(f"more than {MAX_SOURCES} sources; group them before mixing")
     found.sort(key=lambda r: (r.key == "-", r.key))
     rows = [(r.key, r.size, t, i) for i, (r, t) in enumerate(zip(found, targets([r.size for r in found], weights)))]
-    return sized.sparkSession.createDataFrame(rows, "key string, source_size long, target double, number int")
+    # MAX_SOURCES rows at most, so it goes to all tasks; a join by source would send a hot source to one of them.
+    return F.broadcast(sized.sparkSession.createDataFrame(rows, "key string, source_size long, target double, number int"))
 
 
 def plan_draws(sized: DataFrame, shares: DataFrame, shards: int, seed: int) -> DataFrame:
