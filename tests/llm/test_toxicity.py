@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -54,6 +55,20 @@ def test_words_with_one_path_are_untouched(letters):
     assert restorer.forms(b"x" * 30000) and restorer.spaced(b"") == []
 
 
+@pytest.mark.parametrize("token, word", [
+    ("$cum", "scum"), ("!diot", "idiot"), ("|oser", "loser"), ("+rash", "trash"), ("(!diot!)", "idiot"), ("iiddiioott", "idiot"), ("looserr", "loser"),
+    ("i" * 60 + "diot", "idiot"), ("m0" + "r" * 90 + "on", "moron"), ("-" * 50 + "m.o.r.o.n", "moron")])
+def test_no_token_is_exempt_from_its_lattice(letters, token, word):
+    """Signs at the edge may be letters, doubled letters are decoded, and no length is too long."""
+    assert word in Restorer(letters).forms(token.encode())
+
+
+def test_long_tokens_take_linear_time(letters):
+    start = time.perf_counter()
+    assert Restorer(letters).forms(b"aB3/" * 20000)
+    assert time.perf_counter() - start < 20
+
+
 def corpus(n=900):
     dice, rows, labels = random.Random(1), [], []
     for i in range(n):

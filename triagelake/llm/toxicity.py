@@ -3,8 +3,10 @@
 A writer hides a word by leetspeak, by spaces or signs between its letters, or by repeating letters.  Each suspicious stretch of a
 text becomes a lattice: a sign may be a letter it resembles or be skipped, a run of one letter may stand for one or two of it, and
 letters standing alone may belong together.  Viterbi finds the likeliest letters under a character trigram model and the costs of
-the channel.  The character model is counted over all documents.  Words of plain letters have a lattice with a single path, so
-they are their own restoration and need no search; each distinct stretch is decoded once per batch of texts.
+the channel.  The character model is counted over all documents.  Words of plain letters none of which stands twice in a row have a
+lattice with a single path, so they are their own restoration and need no search.  All other words are decoded whatever their length,
+with the signs at their edges as possible letters and also without them; where a word holds letters it is also read with every sign
+that looks like a letter as one, as a frequent short word may make skipping it cheaper.
 
 Features of a document are the distinct beginnings and whole forms of its restored words.  Labelled documents tell which of them
 are tied to the label (counts by label, combined in Spark); a small logistic model on the strength of the ties gives the score.
@@ -24,7 +26,7 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -53,7 +55,10 @@ SWAP, SKIP, REPEAT = 1.5, 1.0, 0.5  # costs of the channel, in nats
 _PLAIN = re.compile(r"[^\W\d_]+")
 _AROUND = "()[]{}<>\\\"'.,;:?!*#%&$|-_=~`^/"
 _MAYBE_ALONE = re.compile(rb"[ ][^\s][ ._*-]+[^\s][ ._*-]")
-_THRICE = re.compile(r"([^\W\d_])\1\1")
+#: Signs around a word that no letter looks like: every path skips them.
+_NEVER_LETTERS = "".join(set(_AROUND) - set(LOOKALIKES))
+_TWICE = re.compile(r"([^\W\d_])\1")
+_LOOKALIKE = re.compile("[" + re.escape("".join(LOOKALIKES)) + "]")
 _HIDING = re.compile("[" + re.escape("".join(LOOKALIKES) + FILLERS) + "]")
 _ALONE = re.compile(r"(?:(?<=[\x20\x09-\x0D])|^)[^\W\d_](?:[ ._*-]+[^\W\d_](?=[ ._*\x09-\x0D-]|$)){2,}")
 LETTERS = 28  # 0: edge of a word, 1 to 26: a to z, 27: any other letter
@@ -69,6 +74,11 @@ class Letters:
 
     cost: np.ndarray
 
+    @cached_property
+    def table(self) -> list[list[list[float]]]:
+        """The costs as lists, which are faster to read one by one."""
+        return self.cost.tolist()
+
 
 def letter_model(docs: DataFrame) -> Letters:
     """Trigrams of letters of all documents, counted in numpy per batch and summed in Spark: 28 ** 3 rows at most come back."""
@@ -98,8 +108,8 @@ def letter_model(docs: DataFrame) -> Letters:
     return Letters(-np.log((counts + 5.0 * backed[None]) / (counts.sum(axis=2, keepdims=True) + 5.0)))
 
 
-def _choices(stretch: str) -> list[list[tuple[str, float]]]:
-    """The lattice of a stretch: for each place the letters it may stand for, with their costs."""
+def _choices(stretch: str, skip: bool = True) -> list[list[tuple[str, float]]]:
+    """The lattice of a stretch: for each place the letters it may stand for, with their costs; ``skip``: look-alikes may be skipped."""
     places: list[list[tuple[str, float]]] = []
     i = 0
     while i < len(stretch):
@@ -110,59 +120,69 @@ def _choices(stretch: str) -> list[list[tuple[str, float]]]:
             one = (sign, REPEAT * (run > 1))
             places.append([one, (sign * 2, 0.0 if run == 2 else REPEAT)] if run > 1 else [one])
         elif sign in LOOKALIKES:
-            places.append([("", SKIP), *((letter, SWAP) for letter in LOOKALIKES[sign])])
+            places.append([*[("", SKIP)] * skip, *((letter, SWAP) for letter in LOOKALIKES[sign])])
         else:
             places.append([("", 0.0 if sign.isspace() else SKIP)])
         i += run
     return places
 
 
-def restore(stretch: str, model: Letters) -> str:
+def restore(stretch: str, model: Letters, skip: bool = True) -> str:
     """The likeliest word behind a stretch of lower-case signs."""
-    cost = model.cost
-    # State: the last two letters; value: cost and the letters so far.
-    states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-    for choices in _choices(stretch):
-        after: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (sofar, text) in states.items():
+    cost = model.table
+    # State: the last two letters; value: cost and the letters so far, as a chain that shares its beginning with other states.
+    states: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
+    for choices in _choices(stretch, skip):
+        after: dict[tuple[int, int], tuple[float, tuple]] = {}
+        for (a, b), (sofar, chain) in states.items():
             for letters, extra in choices:
                 x, y, value = a, b, sofar + extra
                 for letter in letters:
                     code = _code(letter)
-                    x, y, value = y, code, value + float(cost[x, y, code])
-                if (x, y) not in after or (value, text + letters) < after[x, y]:
-                    after[x, y] = (value, text + letters)
+                    x, y, value = y, code, value + cost[x][y][code]
+                if (x, y) not in after or value < after[x, y][0]:
+                    after[x, y] = (value, (chain, letters) if letters else chain)
         states = after
-    return min((value + float(cost[a, b, 0]), text) for (a, b), (value, text) in states.items())[1]
+    chain = min(((value + cost[a][b][0], chain) for (a, b), (value, chain) in states.items()), key=lambda end: end[0])[1]
+    found: list[str] = []
+    while chain:
+        chain, letters = chain
+        found.append(letters)
+    return "".join(reversed(found))
 
 
-#: Longer stretches are no hidden words; they are read as they stand.
-LONGEST = 40
+#: Longer stretches are decoded like all others, but not remembered.
+REMEMBERED = 200
 
 
 class Restorer:
     """Restored words of texts (UTF-8 bytes)."""
 
     def __init__(self, model: Letters) -> None:
-        self.restore = lru_cache(maxsize=100_000)(lambda s: restore(s, model))
+        self.model, self.remembered = model, lru_cache(maxsize=100_000)(lambda *given: restore(given[0], model, *given[1:]))
+
+    def restore(self, stretch: str, *how: bool) -> str:
+        return self.remembered(stretch, *how) if len(stretch) <= REMEMBERED else restore(stretch, self.model, *how)
 
     def forms(self, word: bytes) -> tuple[str, ...]:
-        """What a word between white space may say: itself if its lattice has one path, else its restoration and its plain parts."""
+        """What a word between white space may say: itself if its lattice has one path, else its restoration, also without the signs
+        at its edges, and its plain parts."""
         low = word.decode("utf-8", "replace").lower()
-        if low.isalpha() and not _THRICE.search(low):
+        if low.isalpha() and not _TWICE.search(low):
             return (low,)
-        plain = _PLAIN.findall(low)
-        core = low.strip(_AROUND)
-        if plain and len(core) <= LONGEST and (_HIDING.search(core) or _THRICE.search(core)):
-            return tuple(dict.fromkeys(f for f in (self.restore(core), *plain) if f))
-        return tuple(dict.fromkeys(plain))
+        plain, whole, core = _PLAIN.findall(low), low.strip(_NEVER_LETTERS), low.strip(_AROUND)
+        read = [self.restore(s) for s in dict.fromkeys((whole, core)) if _HIDING.search(s) or _TWICE.search(s)]
+        if plain:
+            edges = dict.fromkeys((core, whole.rstrip(_AROUND), whole.lstrip(_AROUND), whole))
+            read += [self.restore(s, False) for s in edges if _LOOKALIKE.search(s)]
+        return tuple(dict.fromkeys(f for f in (*read, *plain) if f))
 
     def spaced(self, text: bytes) -> list[str]:
         """Words whose letters stand alone, also without their first or last letter, which may be a word of its own."""
         if not _MAYBE_ALONE.search(text):
             return []
         found = _ALONE.findall(text.decode("utf-8", "replace"))
-        whole = [self.restore(stretch.lower()) for stretch in found if len(stretch) <= 4 * LONGEST]
+        whole = [self.restore(stretch.lower()) for stretch in found if len(stretch) <= 160]
         return list(dict.fromkeys(form for w in whole for form in (w, w[1:], w[:-1]) if form))
 
 
@@ -184,7 +204,9 @@ class Ties(dict):
     def __missing__(self, word: bytes) -> float:
         if len(self) >= WORDS_KEPT:
             self.clear()
-        self[word] = found = max(map(self.of, self.restorer.forms(word)), default=0.0)
+        found = max(map(self.of, self.restorer.forms(word)), default=0.0)
+        if len(word) <= REMEMBERED:
+            self[word] = found
         return found
 
     def summary(self, text: bytes) -> tuple[float, float, float, float]:
