@@ -69,6 +69,21 @@ def test_long_tokens_take_linear_time(letters):
     assert time.perf_counter() - start < 20
 
 
+@pytest.mark.parametrize("text, word", [
+    ("you i d i o t!", "idiot"), ("i d i o t, go", "idiot"), ('so "s c u m" it is', "scum"), ("(s c u m)", "scum"), ("i d 1 0 t", "idiot"),
+    ("m 0 r 0 n", "moron"), ("$ c u m", "scum"), ("s c\tu\u00a0m", "scum"), ("t h e i d i o t w a l k", "idiot"),
+    (" ".join("the garden and the river where people walk in the evening with their moron friends" * 3).replace("   ", " "), "moron")])
+def test_spaced_words(letters, text, word):
+    """Any neighbour but a letter or digit, look-alikes, words in the middle of a row of words, and rows of any length."""
+    assert word in Restorer(letters).spaced(text.encode())
+
+
+def test_words_of_a_row_fit_the_letter_model(letters):
+    words = Restorer(letters).spaced(" ".join("thegardenandtheriver").encode())
+    assert {"the", "garden", "and", "river"} <= set(words) and "enandt" not in words
+    assert Restorer(letters).spaced("\u00e9 \u00e8 \u00e9".encode()) and Restorer(letters).spaced(b"a 2 b 6 c") == []
+
+
 def corpus(n=900):
     dice, rows, labels = random.Random(1), [], []
     for i in range(n):
@@ -97,6 +112,16 @@ def test_held_out_and_hidden_words(spark, documents):
     assert kept.schema == docs.schema and kept.count() == sum(1 - r.predicted for r in found)
 
 
+def test_hidden_words_are_scored(spark, documents):
+    rows, labels = corpus(600)
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int, quality int")
+    garden = "theriverandthegardenwherepeoplewalkintheevening"
+    hidden = [(5000, "the river $cum of the garden", 1), (5001, " ".join(garden + "youmoron" + garden), 1), (5002, "you say: 's c u m'!", 1),
+              (5003, " ".join(garden * 5), 0), (5004, "the llooosseerr of the garden", 1), (5005, "the (garden) and the river!", 0)]
+    found = toxicity(documents([*rows, *(h[:2] for h in hidden)]), marks).where("doc_id >= 5000").collect()
+    assert {r.doc_id: r.predicted for r in found} == {i: y for i, _, y in hidden}
+
+
 def test_without_labels(spark, documents):
     docs = documents([(1, "some text"), (2, None)])
     none = spark.createDataFrame([], "doc_id long, toxic int, quality int")

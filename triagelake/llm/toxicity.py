@@ -6,7 +6,8 @@ letters standing alone may belong together.  Viterbi finds the likeliest letters
 the channel.  The character model is counted over all documents.  Words of plain letters none of which stands twice in a row have a
 lattice with a single path, so they are their own restoration and need no search.  All other words are decoded whatever their length,
 with the signs at their edges as possible letters and also without them; where a word holds letters it is also read with every sign
-that looks like a letter as one, as a frequent short word may make skipping it cheaper.
+that looks like a letter as one, as a frequent short word may make skipping it cheaper.  Rows of letters standing alone are split
+into words by the same model.
 
 Features of a document are the distinct beginnings and whole forms of its restored words.  Labelled documents tell which of them
 are tied to the label (counts by label, combined in Spark); a small logistic model on the strength of the ties gives the score.
@@ -54,13 +55,15 @@ SWAP, SKIP, REPEAT = 1.5, 1.0, 0.5  # costs of the channel, in nats
 
 _PLAIN = re.compile(r"[^\W\d_]+")
 _AROUND = "()[]{}<>\\\"'.,;:?!*#%&$|-_=~`^/"
-_MAYBE_ALONE = re.compile(rb"[ ][^\s][ ._*-]+[^\s][ ._*-]")
 #: Signs around a word that no letter looks like: every path skips them.
 _NEVER_LETTERS = "".join(set(_AROUND) - set(LOOKALIKES))
 _TWICE = re.compile(r"([^\W\d_])\1")
 _LOOKALIKE = re.compile("[" + re.escape("".join(LOOKALIKES)) + "]")
 _HIDING = re.compile("[" + re.escape("".join(LOOKALIKES) + FILLERS) + "]")
-_ALONE = re.compile(r"(?:(?<=[\x20\x09-\x0D])|^)[^\W\d_](?:[ ._*-]+[^\W\d_](?=[ ._*\x09-\x0D-]|$)){2,}")
+_UNIT = r"(?:[^\W\d_]|[" + re.escape("".join(LOOKALIKES)) + "])"
+_GAP = r"(?:_|[^\w" + re.escape("".join(LOOKALIKES)) + "])"
+#: Three or more letters or look-alikes that touch no other letter or digit.
+_ALONE = re.compile(rf"(?<![^\W_]){_UNIT}(?:{_GAP}+{_UNIT}(?![^\W_])){{2,}}")
 LETTERS = 28  # 0: edge of a word, 1 to 26: a to z, 27: any other letter
 
 
@@ -151,6 +154,38 @@ def restore(stretch: str, model: Letters, skip: bool = True) -> str:
     return "".join(reversed(found))
 
 
+#: Letters of a word in a row of words; and how much likelier (nats) the best splitting of a row may be than one with the word in it.
+LONGEST, NEAR = 24, 8.0
+
+
+def split(letters: str, model: Letters) -> list[str]:
+    """The words of a row of letters without gaps: those of three letters or more of the likeliest splittings under the letter model.
+
+    Viterbi with word edges, from both ends: a word is there if the best splitting that holds it is within ``NEAR`` nats of the best of all.
+    """
+    cost, codes, n = model.table, [_code(letter) for letter in letters], len(letters)
+    ahead = [0.0] + [math.inf] * n
+    for i in range(n):
+        a = b = 0
+        value = ahead[i]
+        for j in range(i, min(n, i + LONGEST)):
+            value += cost[a][b][codes[j]]
+            a, b = b, codes[j]
+            ahead[j + 1] = min(ahead[j + 1], value + cost[a][b][0])
+    most, behind, found = ahead[n] + NEAR, [math.inf] * n + [0.0], []
+    for i in range(n - 1, -1, -1):
+        a = b = 0
+        value = 0.0
+        for j in range(i, min(n, i + LONGEST)):
+            value += cost[a][b][codes[j]]
+            a, b = b, codes[j]
+            whole = value + cost[a][b][0] + behind[j + 1]
+            behind[i] = min(behind[i], whole)
+            if j - i >= 2 and ahead[i] + whole <= most:
+                found.append(letters[i: j + 1])
+    return found
+
+
 #: Longer stretches are decoded like all others, but not remembered.
 REMEMBERED = 200
 
@@ -178,12 +213,14 @@ class Restorer:
         return tuple(dict.fromkeys(f for f in (*read, *plain) if f))
 
     def spaced(self, text: bytes) -> list[str]:
-        """Words whose letters stand alone, also without their first or last letter, which may be a word of its own."""
-        if not _MAYBE_ALONE.search(text):
-            return []
-        found = _ALONE.findall(text.decode("utf-8", "replace"))
-        whole = [self.restore(stretch.lower()) for stretch in found if len(stretch) <= 160]
-        return list(dict.fromkeys(form for w in whole for form in (w, w[1:], w[:-1]) if form))
+        """Words whose letters stand alone.  A stretch is read as one word, also without its first or last letter, which may be a word of
+        its own, and as a row of words."""
+        found: dict[str, None] = {}
+        for stretch in _ALONE.findall(text.decode("utf-8", "replace").lower()):
+            for skip in (True, False) if _LOOKALIKE.search(stretch) and _PLAIN.search(stretch) else (True,):
+                whole = self.restore(stretch, skip)
+                found.update(dict.fromkeys((whole, whole[1:], whole[:-1], *split(whole, self.model))))
+        return [form for form in found if form]
 
 
 def features(word: str) -> list[str]:
