@@ -42,6 +42,32 @@ def test_crowded_buckets_are_compared_as_a_whole(documents, prose, monkeypatch):
         assert sorted(map(tuple, near_duplicates(documents(rows), 2).collect())) == wanted
 
 
+def test_tiles_are_bounded_by_sets_too(documents, prose, monkeypatch):
+    from triagelake.llm import near_dedup
+
+    base = prose(150, 77, 3000)
+    rows = [(i, changed(base, 0.004 * (i % 23), 500 + i)) for i in range(60)]
+    monkeypatch.setattr(near_dedup, "TILE_SETS", 7)
+    monkeypatch.setattr(near_dedup, "CELLS", 50)
+    assert sorted(map(tuple, near_duplicates(documents(rows), 2).collect())) == sorted(plain.near(rows, 2))
+
+
+def test_many_small_sets_need_little_memory():
+    """Sets that share a template, all in components of their own; the last is close to the first."""
+    import tracemalloc
+
+    from triagelake.llm.near_dedup import _links
+
+    n = 6000
+    sets = [np.sort(mix(np.array([1, 2, 3, 4, 5, *(10 * k + np.arange(10, 15))], dtype=np.uint64))).view(np.int64) for k in range(1, n)]
+    sets.append(sets[0])
+    tracemalloc.start()
+    found = _links(sets, np.arange(n), np.arange(n), 80)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == [(n - 1, 0)] and peak < 400e6
+
+
 def test_rows_without_id_and_repeated_rows(documents):
     rows = [(None, "a b c d e f"), (5, "a b c d e f"), (5, "a b c d e f"), (7, "a b c d e f"), (None, None)]
     found = sorted(((r.doc_id, r.component_id, r.kept) for r in near_duplicates(documents(rows)).collect()), key=repr)

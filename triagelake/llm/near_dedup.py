@@ -11,8 +11,8 @@ Documents with equal sets form a class, and only the smallest id of a class take
 is verified against the bucket's smallest id, which is linear however large the bucket is; classes that are then connected need no
 further look.  Buckets whose classes are still in different components are compared as a whole: their sets are laid out as a matrix,
 whose product has the sizes of all intersections, and one link is reported for each two components.  No pair becomes a row.  A bucket
-with more than ``TILE`` elements is cut into tiles, and tiles are compared two by two, so every task stays bounded and no link that
-could join two components is lost.  Verification always takes the whole shingle sets.
+with more than ``TILE`` elements or ``TILE_SETS`` sets is cut into tiles, and tiles are compared two by two, their matrices filled in
+blocks of rows, so every task stays bounded and no link that could join two components is lost.  Verification always takes the whole shingle sets.
 
 Components come from alternating large-star and small-star steps over stored edges.  Hot buckets, classes and components are only
 ever aggregated by min or joined on a key with one row on the other side, which Spark can split.
@@ -38,6 +38,8 @@ from triagelake.llm.words import BASES, U64, Spans, mix, pieces, signed, words_o
 BINS, ROWS = 252, 6
 #: Elements of the sets that one task compares at once.
 TILE = 1_000_000
+#: Sets of one tile, and cells of the matrices that are filled at a time: many small sets make large matrices.
+TILE_SETS, CELLS = 4_000, 4_000_000
 _LOW = U64((1 << 48) - 1)
 
 
@@ -123,27 +125,33 @@ def _links(sets: list[np.ndarray], ids: np.ndarray, owners: np.ndarray, percent:
     place = np.full(len(values), -1)
     place[shared] = np.arange(len(shared))
     column = place[column]
-    both = np.zeros((len(rest), len(sets)), dtype=np.float32)
-    width = max(1, 8_000_000 // len(sets))
-    for at in range(0, len(shared), width):
-        inside = (column >= at) & (column < at + width)
-        grid = np.zeros((len(sets), min(width, len(shared) - at)), dtype=np.float32)
-        grid[row[inside], column[inside] - at] = 1
-        both += grid[rest] @ grid.T
-    close = 100 * both >= percent * (size[rest][:, None] + size[None, :] - both)
-    i, j = np.nonzero(close & (owners[rest][:, None] != owners[None, :]))
-    found = {tuple(sorted((owners[rest[x]], owners[y]))): (ids[rest[x]], ids[y]) for x, y in zip(i, j)}
+    found: dict[tuple[int, int], tuple[int, int]] = {}
+    height = max(1, CELLS // len(sets))
+    for low in range(0, len(rest), height):
+        some = rest[low: low + height]
+        both = np.zeros((len(some), len(sets)), dtype=np.float32)
+        width = max(1, 2 * CELLS // len(sets))
+        for at in range(0, len(shared), width):
+            inside = (column >= at) & (column < at + width)
+            grid = np.zeros((len(sets), min(width, len(shared) - at)), dtype=np.float32)
+            grid[row[inside], column[inside] - at] = 1
+            both += grid[some] @ grid.T
+        close = 100 * both >= percent * (size[some][:, None] + size[None, :] - both)
+        i, j = np.nonzero(close & (owners[some][:, None] != owners[None, :]))
+        found.update({tuple(sorted((owners[some[x]], owners[y]))): (ids[some[x]], ids[y]) for x, y in zip(i, j)})
     return [(int(max(pair)), int(min(pair))) for pair in found.values()]
 
 
 def _open_links(inside: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """Links (a, b) between different components in the buckets ``inside`` (bucket, member, n_shingles, component)."""
-    tiles = inside.groupBy("bucket").agg((1 + F.floor(F.sum("n_shingles") / TILE)).cast("int").alias("tiles"))
+    needed = F.greatest(F.floor(F.sum("n_shingles") / TILE), F.floor(F.count(F.lit(1)) / TILE_SETS))
+    tiles = inside.groupBy("bucket").agg((1 + needed).cast("int").alias("tiles"))
     tile = F.pmod(F.xxhash64("member"), F.col("tiles")).cast("int")
     turned = inside.join(tiles, "bucket").withColumn("tile", tile).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     turned = turned.select("bucket", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"), "member", "n_shingles",
                            "component")
-    groups = 1 + (turned.agg(F.sum("n_shingles")).first()[0] or 0) // (2 * TILE)
+    total = turned.agg(F.sum("n_shingles"), F.count(F.lit(1))).first()
+    groups = 1 + max((total[0] or 0) // (2 * TILE), total[1] // (2 * TILE_SETS))
     turned = turned.withColumn("group", F.pmod(F.xxhash64("bucket", "low", "high"), F.lit(groups)))
 
     def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
