@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 
+import triagelake.llm.language as language_module
 from triagelake.llm.language import ORDER, SYMBOLS, Model, folded, grams, languages, learn, predict, symbols
 
 from .conftest import clashing
@@ -62,6 +63,20 @@ def test_code_lengths_follow_from_the_context_trees(documents):
             assert abs(lengths[grams(sample, table)[at], i] - plain_cost(counts, tuple(code[at - 3: at]), code[at])) < 1e-4
 
 
+def test_any_number_of_languages(documents, monkeypatch):
+    """More languages than tables: nothing fails, and code lengths and scores are those of the tables."""
+    rows = corpus(120) + [(1000 + i, "q" * (1 + i % 3) + f" stray {chr(97 + i % 26) * 4}", f"x{i:02}") for i in range(60)]
+    found = {r.doc_id: r.lang_pred for r in languages(documents(rows)).collect()}
+    assert len(found) == len(rows) and sum(found[r[0]] == r[2] for r in rows[:120]) >= 115
+    model = learn(documents(corpus(60)))
+    lengths, wanted = model.code_lengths(), np.arange(0, SYMBOLS ** (ORDER + 1), 7)
+    for i in range(len(model.languages)):
+        assert np.array_equal(model.code_lengths_of(i, wanted), lengths[wanted, i])
+    few = predict(documents(corpus(40)), model).select("doc_id", "lang_pred", "score").collect()
+    monkeypatch.setattr(language_module, "TABLES", 2)
+    assert sorted(predict(documents(corpus(40)), model).select("doc_id", "lang_pred", "score").collect()) == sorted(few)
+
+
 def test_batches_do_not_matter(documents, spark):
     rows = corpus(40)
     model = learn(documents(rows))

@@ -7,6 +7,8 @@ that needs the fewest bits for the text wins; ties go to the first by name.
 
 Symbols are bytes with capitals folded, all ASCII signs but letters as one, and the rarer bytes above 127 as one (``SYMBOLS`` in all).
 So a tree unfolds into a table of the code lengths of all contexts and symbols, and scoring is one look-up per byte and language.
+With more than ``TABLES`` languages the same code lengths are worked out from the counts, language by language, for the grams that a
+run of texts holds, so their number is not bounded.
 
 Learning counts over ``MOST_LEARNED`` documents at most (a documented bound on fitting the classifier), or all of the learning split.
 
@@ -31,8 +33,10 @@ from triagelake.llm.words import pieces
 ORDER, SYMBOLS = 3, 40
 MOST_LEARNED = 40_000
 FOLDS, HELD_OUT = 5, 0
-#: Each language costs SYMBOLS ** (ORDER + 1) numbers in every task.
-MOST_LANGUAGES = 40
+#: Each table costs SYMBOLS ** (ORDER + 1) numbers in every task; more languages than this are scored without tables.
+TABLES = 40
+#: Bytes of text that are scored at once with tables, and without.
+RUN, LONG_RUN = 1 << 18, 1 << 23
 
 _ASCII = np.zeros(256, dtype=np.int32)
 _ASCII[97:123] = np.arange(1, 27)
@@ -90,6 +94,31 @@ class Model:
             out[:, i] = cost.ravel()
         return out
 
+    def code_lengths_of(self, language: int, wanted: np.ndarray) -> np.ndarray:
+        """Nats of the last symbol of the ``wanted`` grams in one language, as in ``code_lengths`` but without its table."""
+        codes, n = self.counts[language]
+        cost = np.full(len(wanted), np.log(SYMBOLS))
+        for order in range(ORDER + 1):
+            size = SYMBOLS ** (order + 1)
+            grams_, of = np.unique(codes % size, return_inverse=True)
+            seen_ = np.bincount(of, weights=n, minlength=len(grams_))
+            contexts, within = np.unique(grams_ // SYMBOLS, return_inverse=True)
+            total_, distinct_ = np.bincount(within, weights=seen_), np.bincount(within)
+            seen = _found(grams_, seen_, wanted % size)
+            total, distinct = (_found(contexts, v, wanted % size // SYMBOLS) for v in (total_, distinct_))
+            escape = np.where(total > 0, -np.log(np.maximum(distinct, 1) / np.maximum(total + distinct, 1)), 0.0)
+            own = -np.log(np.maximum(seen, 1) / np.maximum(total + distinct, 1))
+            cost = np.where(seen > 0, own, escape + cost)
+        return cost.astype(np.float32)
+
+
+def _found(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The values of the ``wanted`` keys, 0 for those not among the sorted ``keys``."""
+    if not len(keys):
+        return np.zeros(len(wanted))
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, values[at], 0)
+
 
 def _texts(batch: pa.RecordBatch) -> list[bytes]:
     return [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
@@ -112,23 +141,17 @@ def learn(docs: DataFrame, most: int = MOST_LEARNED) -> Model:
     table = symbols(high)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[str, np.ndarray] = {}
         for batch in batches:
             languages = np.array(batch.column("lang").to_pylist(), dtype=object)
             texts = _texts(batch)
             for language in set(languages.tolist()):
                 joined = b" ".join([b"   ", *(texts[i] for i in np.flatnonzero(languages == language))])
-                new = np.bincount(grams(joined, table)[3:], minlength=SYMBOLS ** (ORDER + 1))
-                total[language] = total[language] + new if language in total else new
-        for language, n in total.items():
-            seen = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([language] * len(seen), pa.string()), pa.array(seen.astype(np.int32)), pa.array(n[seen].astype(np.int64))],
-                names=["lang", "gram", "n"])
-
-    languages = sorted(r.lang for r in rows.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect())
-    if len(languages) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+                seen, n = np.unique(grams(joined, table)[3:], return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([language] * len(seen), pa.string()), pa.array(seen.astype(np.int32)), pa.array(n.astype(np.int64))],
+                    names=["lang", "gram", "n"])
+
+    languages = sorted(r.lang for r in rows.select("lang").distinct().collect())
     summed = rows.mapInArrow(count, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
     summed = summed.sort_values(["lang", "gram"])  # the trees have SYMBOLS ** (ORDER + 1) leaves each at most
     by = {language: (own["gram"].to_numpy(), own["n"].to_numpy()) for language, own in summed.groupby("lang")}
@@ -138,12 +161,14 @@ def learn(docs: DataFrame, most: int = MOST_LEARNED) -> Model:
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with lang_pred and score (the chance of that language if all were equally likely before)."""
+    tables = len(model.languages) <= TABLES
+
     def build() -> Callable[[list[bytes]], list[pa.Array]]:
-        table, lengths = symbols(model.high), model.code_lengths()
+        table, lengths = symbols(model.high), model.code_lengths() if tables else None
 
         def run(texts: list[bytes]) -> list[pa.Array]:
             names, chances = [], []
-            for _, some in pieces(texts, 1 << 18):
+            for _, some in pieces(texts, RUN if lengths is not None else LONG_RUN):
                 if not model.languages:
                     names += ["und"] * len(some)
                     chances += [0.0] * len(some)
@@ -151,7 +176,13 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                 padded = [b"   " + t + b" " for t in some]
                 starts = np.zeros(len(padded), dtype=np.int64)
                 np.cumsum([len(t) for t in padded[:-1]], out=starts[1:])
-                bits = np.add.reduceat(lengths[grams(b"".join(padded), table)], starts, axis=0, dtype=np.float64)
+                code = grams(b"".join(padded), table)
+                if lengths is not None:
+                    bits = np.add.reduceat(lengths[code], starts, axis=0, dtype=np.float64)
+                else:
+                    wanted, of = np.unique(code, return_inverse=True)
+                    bits = np.stack([np.add.reduceat(model.code_lengths_of(i, wanted)[of], starts, dtype=np.float64)
+                                     for i in range(len(model.languages))], axis=1)
                 best = bits.argmin(axis=1)
                 chance = 1 / np.exp(bits.min(axis=1, keepdims=True) - bits).sum(axis=1)
                 for text, b, c in zip(some, best.tolist(), chance.tolist()):
