@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from triagelake.llm import (exact_dedup, language, mixing, near_dedup, packing, personal_data, quality_model, quality_rules,
+from triagelake.llm import (exact_dedup, language, manifest, mixing, near_dedup, packing, personal_data, quality_model, quality_rules,
                             substring_dedup, token_ids, toxicity, whitening)
 from triagelake.llm.common import ship
 
@@ -68,9 +68,13 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(ship(spark).read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_exact_dedup, op2_substring_dedup, op3_toxicity, op4_language_id, op5_mixing, op6_quality_classifier,
-                            op7_near_dedup, op8_quality_rules, op9_packing, op10_personal_data, op11_token_ids, op12_whitening)}
+                            op7_near_dedup, op8_quality_rules, op9_packing, op10_personal_data, op11_token_ids, op12_whitening, op13_manifest)}
 
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": """
