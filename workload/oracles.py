@@ -561,6 +561,9 @@ ORACLES: dict[str, str] = {
         FROM documents""",
     "paired_status": f"""WITH {EV}, {USERS}, {TASKS}, {REP} SELECT tasks.task_id, coalesce(outcome, 'failed') AS outcome,
         CASE WHEN rep.task_id IS NULL THEN 'no_response' ELSE error END AS error, details FROM tasks LEFT JOIN rep ON tasks.task_id = rep.task_id""",
+    "stream_paired_status": f"""WITH {EV}, {USERS}, {TASKS}, {REP}, late AS (SELECT * FROM rep WHERE d % 7 < 5)
+        SELECT tasks.task_id, coalesce(outcome, 'failed') AS outcome, CASE WHEN late.task_id IS NULL THEN 'no_response' ELSE error END AS error,
+        details FROM tasks LEFT JOIN late ON tasks.task_id = late.task_id""",
     "paired_duplicates": f"""WITH {REP} SELECT task_id, CASE WHEN outcome = 'broken' AND f <> 7 THEN 'failed' ELSE outcome END AS outcome,
         CASE WHEN outcome <> 'broken' OR f = 7 THEN error WHEN d % 3 = 0 THEN 'invalid_response' WHEN d % 3 = 1 THEN 'empty_response'
           ELSE 'timeout' END AS error,

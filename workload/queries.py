@@ -23,6 +23,7 @@ from triagelake.plans.job import run_triage
 from triagelake.sources.outputs import ATTACHED_COLUMN, JSON_DATASET, MARKDOWN_DATASET
 from triagelake.sources.reports import read_report_lines
 from triagelake.sources.session import configure, fresh_path
+from triagelake.streaming.pairing import pair_stream
 from workload.derived import page_reports, reports_raw, responses_raw, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -221,6 +222,34 @@ def paired_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paired.select("task_id", "outcome", "error", "details")
 
 
+#: Replies come (d % 7) * 15 seconds after the request; with a timeout of 60 seconds those of 75 and 90 seconds do not count.
+STREAM_TIMEOUT_S, STREAM_START = 60, "2026-01-01 00:00:00"
+
+
+def stream_paired_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairing on streams: all tasks and replies arrive as files with event times; one pairing per task after its deadline."""
+    spark = configure(spark)
+    folder = fresh_path(spark, "stream-pairing")
+    start = F.to_timestamp(F.lit(STREAM_START))
+    d = F.coalesce(F.expr("try_cast(substring(task_id, 2) AS BIGINT)"), F.lit(0))
+    reports_raw(spark, sf_dir).select("task_id", start.alias("sent_at")).write.parquet(f"{folder}/tasks")
+    responses_raw(spark, sf_dir).select(
+        "task_id", "body", "transport_error", "transport_detail",
+        (start + F.make_dt_interval(secs=(d % 7 * 15).cast("decimal(8,0)"))).alias("received_at")).write.parquet(f"{folder}/replies")
+    # A clock far ahead moves the watermark past every deadline; its reply has no task and is dropped.
+    spark.range(1).select(F.lit("clock").alias("task_id"), F.lit(None).cast("string").alias("body"), F.lit("timeout").alias("transport_error"),
+                          F.lit(None).cast("string").alias("transport_detail"),
+                          (start + F.expr("INTERVAL 1 DAY")).alias("received_at")).write.mode("append").parquet(f"{folder}/replies")
+    tasks_schema, replies_schema = "task_id string, sent_at timestamp", ("task_id string, body string, transport_error string, "
+                                                                         "transport_detail string, received_at timestamp")
+    for _ in range(3):  # the first run reads all files; timers fire in the runs after it, once the watermark has moved
+        tasks = spark.readStream.schema(tasks_schema).parquet(f"{folder}/tasks")
+        replies = spark.readStream.schema(replies_schema).parquet(f"{folder}/replies")
+        (pair_stream(tasks, replies, STREAM_TIMEOUT_S).writeStream.format("parquet").option("checkpointLocation", f"{folder}/progress")
+         .trigger(availableNow=True).start(f"{folder}/out").awaitTermination())
+    return spark.read.parquet(f"{folder}/out").select("task_id", "outcome", "error", "details")
+
+
 def paired_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tasks with a second and a third reply: an error page, an empty answer, or a timeout beside the first one."""
     spark = configure(spark)
@@ -388,6 +417,7 @@ QUERIES: dict[str, Query] = {
     "unsupported_provider": unsupported_provider,
     "paired_status": paired_status,
     "paired_duplicates": paired_duplicates,
+    "stream_paired_status": stream_paired_status,
     "json_blobs": json_blobs,
     "assessment_status": assessment_status,
     "assessment_verdicts": assessment_verdicts,
