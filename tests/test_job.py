@@ -205,3 +205,21 @@ def test_hot_task_in_attach_keeps_all_rows(spark, responses):
     result = run_triage(many, responses, TriageOptions(enabled=True, attach_to_results=True))
     assert result.assessments.count() == 1
     assert result.attached.where("llm_assessment.status = 'ok'").count() == 2000
+
+
+def test_attach_to_bucketed_reports_moves_no_report_text(spark, reports, responses):
+    from triagelake.plans.job import ingest_reports_bucketed
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # the layout, not a broadcast, must keep the reports in place
+    try:
+        stored_reports = ingest_reports_bucketed(reports, "reports_bucketed_test", 4)
+        options = TriageOptions(enabled=True, attach_to_results=True)
+        result = run_triage(stored_reports, responses, options, ingested=True)
+        plan = result.attached._jdf.queryExecution().executedPlan().toString()
+        report_side = [line for line in plan.splitlines() if "raw" in line and ("Exchange" in line or "Scan" in line)]
+        assert report_side and not any("Exchange" in line for line in report_side)
+        plain = run_triage(keyed(reports), responses, options, ingested=True).attached
+        shown = lambda rows: sorted((r.task_id, r.raw, r.llm_assessment.status) for r in rows.collect())
+        assert shown(result.attached) == shown(plain)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

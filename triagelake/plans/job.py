@@ -39,6 +39,17 @@ def ingest_reports(reports: DataFrame, path: str) -> DataFrame:
     return stored(keyed(reports), path)
 
 
+def ingest_reports_bucketed(reports: DataFrame, table: str, buckets: int) -> DataFrame:
+    """Store reports with an id each as a table of the warehouse bucketed by ``task_id``.
+
+    Joins on the task id, such as attaching assessments, then read the reports where they lie: only the other, narrow side is
+    shuffled to the buckets, and no report text moves.  Choose ``buckets`` so that a bucket holds some hundred MB of reports.
+    """
+    configure(reports.sparkSession)
+    keyed(reports).write.mode("overwrite").bucketBy(buckets, "task_id").sortBy("task_id").saveAsTable(table)
+    return reports.sparkSession.table(table)
+
+
 def prepare_requests(
     reports: DataFrame | None, options: TriageOptions, evidence: DataFrame | None = None
 ) -> DataFrame | None:

@@ -596,6 +596,7 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT task_id, 'stated', 'openai_compatible', 'm1', 'v1' FROM rep""",
     "markdown_reports": f"WITH {REP}, {TTPS}, {REPLY_IOCS}, {NOTES} {_markdown()}",
     "attached_reports": _job(f"has_report, {_SHOWN}"),
+    "attached_bucketed": _job(f"has_report, {_SHOWN}"),
     "saved_outputs": _job(_SHOWN),
     "saved_markdown": f"WITH {REP}, {TTPS}, {REPLY_IOCS}, {NOTES} {_markdown()}",
 }

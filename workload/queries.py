@@ -19,7 +19,7 @@ from triagelake.operators.markdown import render_markdown
 from triagelake.operators.prompts import build_prompts, evidence_packages, request_payloads
 from triagelake.operators.responses import classify_responses, pair_responses
 from triagelake.options import TriageOptions
-from triagelake.plans.job import run_triage
+from triagelake.plans.job import ingest_reports_bucketed, run_triage
 from triagelake.sources.outputs import ATTACHED_COLUMN, JSON_DATASET, MARKDOWN_DATASET
 from triagelake.sources.reports import read_report_lines
 from triagelake.sources.session import configure, fresh_path
@@ -341,6 +341,17 @@ def attached_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("task_id", F.length("raw").isNotNull().alias("has_report"), *_shown("a."))
 
 
+def attached_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """attached_reports with reports stored bucketed by task at ingest: attaching moves no report text."""
+    spark = configure(spark)
+    table = "reports_" + fresh_path(spark, "b").rsplit("-", 1)[-1]
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    reports = ingest_reports_bucketed(reports_raw(spark, sf_dir), table, buckets)
+    result = run_triage(reports, responses_raw(spark, sf_dir), JOB, ingested=True)
+    found = result.attached.withColumn("a", F.col(ATTACHED_COLUMN))
+    return found.select("task_id", F.length("raw").isNotNull().alias("has_report"), *_shown("a."))
+
+
 def _shown(prefix: str = "") -> list[Column]:
     """What is compared of each field of an assessment."""
     plain = ("status", "error_type", "message")
@@ -432,6 +443,7 @@ QUERIES: dict[str, Query] = {
     "assessment_metadata": assessment_metadata,
     "markdown_reports": markdown_reports,
     "attached_reports": attached_reports,
+    "attached_bucketed": attached_bucketed,
     "saved_outputs": saved_outputs,
     "saved_markdown": saved_markdown,
 }
\ No newline at end of file
