@@ -132,3 +132,16 @@ def test_bare_number_names(parse):
     row = parse('{"verdict": {"confidence": NaN, "severity": Infinity}, "message": -Infinity}').collect()[0]
     assert row.verdict.confidence != row.verdict.confidence and row.message == "-inf"
     assert "- Confidence: `nan`" in render_markdown(parse('{"verdict": {"confidence": NaN}}')).collect()[0].markdown
+
+
+def test_pairing_sorts_no_reply_text(spark):
+    from pyspark.sql import functions as F
+
+    tasks = spark.range(50).select(F.concat(F.lit("t"), (F.col("id") % 5).cast("string")).alias("task_id"))
+    body = F.concat(F.lit('{"choices":[{"message":{"content":"x'), F.col("id").cast("string"), F.lit('"}}]}'))
+    replies = spark.range(3000).select(F.lit("t1").alias("task_id"), body.alias("body"), F.lit(None).cast("string").alias("transport_error"))
+    paired = pair_responses(tasks, replies)
+    plan = paired._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "first(" not in plan
+    rows = {r.task_id: (r.outcome, r.dropped) for r in paired.collect()}
+    assert rows["t1"] == ("ok", 2999) and rows["t0"] == ("failed", 0) and len(rows) == 5

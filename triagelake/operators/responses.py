@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from triagelake.functions.sql import case, let, lit, lits, struct
 from triagelake.functions.variants import is_record, is_text, plain_text, strict_json, strip, truthy, typed_at
+from triagelake.sources.session import fresh_path
 
 # Fixed value: the one provider whose replies are understood.
 PROVIDER = "openai_compatible"
@@ -91,22 +92,27 @@ def _misplaced(value: str) -> str:
 RANKS = {OK: 0, FAILED: 1, BROKEN: 2}
 
 
-def best_replies(responses: DataFrame, provider: str = PROVIDER) -> DataFrame:
+def best_replies(responses: DataFrame, provider: str = PROVIDER, folder: str | None = None) -> DataFrame:
     """Of the replies of each task the best one, classified, with the number of ``replies`` that there were.
 
-    A usable reply beats a failed one, and that one a broken one; among equals a checksum of the reply decides.  Rank and checksum are
-    one number of fixed width, which is combined by hash before the shuffle: a task that holds a large share of all replies costs one
-    row per map task, and no reply text is sorted for it.
+    A usable reply beats a failed one, and that one a broken one; among equals a checksum of the reply decides.  Replies are parsed
+    once and stored with a row number (in the shared folder, or ``folder``).  Per task, rank and checksum are one number of fixed
+    width; the row number of its minimum (``min_by``, two longs) is found by a hash aggregation that is combined before the shuffle,
+    and the best row is joined back on (task, row number), a key that no two rows share, so a task with many replies spreads over
+    all tasks of the join.  No reply text is sorted or aggregated.
     """
+    from triagelake.sources.outputs import stored  # the sinks import the operators
+
     named = responses.where(F.col("task_id").isNotNull())
     rank = F.element_at(F.create_map(*(F.lit(x) for pair in RANKS.items() for x in pair)), F.col("outcome"))
     marked = classify_responses(named, provider).withColumn("checksum", F.xxhash64("error", "details", "content"))
     # 60 bits of the checksum below the rank.
     code = F.shiftleft(rank.cast("long"), 60).bitwiseOR(F.shiftrightunsigned("checksum", 4))
-    marked = marked.select("task_id", "outcome", "error", "details", "content", code.alias("code"))
-    best = marked.groupBy("task_id").agg(F.min("code").alias("code"), F.count(F.lit(1)).alias("replies"))
-    # Replies that are the same in all respects are still there; any one of them stands for the others.
-    return marked.join(best, ["task_id", "code"]).dropDuplicates(["task_id"]).drop("code")
+    marked = stored(marked.select("task_id", "outcome", "error", "details", "content", code.alias("code"),
+                                  F.monotonically_increasing_id().alias("row")),
+                    fresh_path(responses.sparkSession, "classified-replies", folder))
+    best = marked.groupBy("task_id").agg(F.min_by("row", "code").alias("row"), F.count(F.lit(1)).alias("replies"))
+    return marked.join(best, ["task_id", "row"]).drop("code", "row")
 
 
 def pair_responses(tasks: DataFrame, responses: DataFrame, provider: str = PROVIDER) -> DataFrame:
