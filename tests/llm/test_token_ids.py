@@ -87,3 +87,13 @@ def test_repeated_ids_null_ids_and_blocks(documents, tokenizer, spark, monkeypat
 
 def test_empty_table(documents, spark):
     assert token_ids(documents([]).where("false"), PATH).count() == 0
+
+
+def test_a_full_cache_starts_anew(tokenizer, monkeypatch):
+    from triagelake.llm import token_ids as module
+
+    monkeypatch.setattr(module, "CHUNKS_KEPT", 3)
+    encoder = ChunkEncoder(PATH)
+    for texts in (["a b", "c"], ["a b c d e", "a"], ["b"]):
+        for text in texts:
+            assert np.frombuffer(encoder.encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
