@@ -223,3 +223,15 @@ def test_attach_to_bucketed_reports_moves_no_report_text(spark, reports, respons
         assert shown(result.attached) == shown(plain)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_numbering_a_group_with_half_of_all_rows(spark):
+    rows = spark.range(4000).select(F.when(F.col("id") % 2 == 0, F.lit("hot")).when(F.col("id") % 7 == 1, F.lit(None))
+                                    .otherwise((F.col("id") % 13).cast("string")).alias("g"), (F.col("id") * 7919 % 4001).alias("p"))
+    numbered = artifacts.number_rows(rows.repartition(6), "g", ["p"], "n").collect()
+    expected = {}
+    for r in sorted(rows.collect(), key=lambda r: (r.g is not None, r.g or "", r.p)):
+        expected.setdefault(r.g, []).append(r.p)
+    assert sorted((r.g or "", r.p, r.n) for r in numbered) == sorted(
+        (g or "", p, i) for g, ps in expected.items() for i, p in enumerate(ps, 1))
+    assert artifacts.number_rows(rows.where("false"), "g", ["p"]).count() == 0

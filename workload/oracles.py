@@ -504,6 +504,8 @@ ORACLES: dict[str, str] = {
         WHERE event_id % 11 <> 0 AND trim(props) <> '' GROUP BY ALL""",
     "first_n_per_user": f"""SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rank FROM ({_SEEN_PROPS})
         QUALIFY rank <= 20""",
+    "numbered_events": """SELECT user_id, event_id, 'evt_' || row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS ref
+        FROM events""",
     "sorted_lists_per_user": f"""SELECT user_id, string_agg(props, '|' ORDER BY props) AS values FROM (SELECT *,
         row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rank FROM ({_SEEN_PROPS}) QUALIFY rank <= 20) GROUP BY user_id""",
     "words_in_row": r"""WITH words AS (SELECT doc_id, unnest(string_split(x, ' ')) AS w, generate_subscripts(string_split(x, ' '), 1) AS rank_

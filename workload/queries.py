@@ -136,6 +136,13 @@ def sorted_lists_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lists.select("user_id", F.array_join("values", "|").alias("values"))
 
 
+def numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positional ids over long groups: every event of a user numbered by event id, without a window over a whole user."""
+    events = table(spark, sf_dir, "events").select("user_id", "event_id")
+    return artifacts.number_rows(events, "user_id", ["event_id"], "pos").select(
+        "user_id", "event_id", F.concat(F.lit("evt_"), F.col("pos").cast("string")).alias("ref"))
+
+
 def words_in_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = first_n(distinct_in_order(r"split(regexp_replace(text, '[^ -~]+', ' '), ' ')"), 12)
     kept = table(spark, sf_dir, "documents").selectExpr("doc_id", f"{words} AS words")
@@ -399,6 +406,7 @@ QUERIES: dict[str, Query] = {
     "dedupe_first_seen": dedupe_first_seen,
     "first_n_per_user": first_n_per_user,
     "sorted_lists_per_user": sorted_lists_per_user,
+    "numbered_events": numbered_events,
     "words_in_row": words_in_row,
     "report_samples": _evidence_table(tables.samples),
     "report_scores": _evidence_table(tables.scores),
