@@ -3,6 +3,8 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from triagelake.llm.packing import WordEncoder, first_fit, pack
@@ -73,3 +75,17 @@ def test_round_trip(documents, odd_rows, tokenizer, prose):
     total = sum(r.length for r in found)
     assert len(sequences) <= 1.1 * total / 4096 + 1
     assert pack(documents([]), PATH).collect() == []
+
+
+def test_signs_before_punctuation_and_all_white_space(tokenizer):
+    texts = ["“fine”.", "😀!", "wow 😀, ok", "a…!", "→,", "™.", "5°.", "—,", "•)", "İ!", "वह अच्छी है, और", "ภาษาที่.", "a\x1cb.",
+             "x y. z　w!", "É.", "ß,", "ǅ!"]
+    for text, ids in zip(texts, WordEncoder(PATH).encode([t.encode() for t in texts])):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet=st.characters(codec="utf-8"), max_size=30))
+def test_any_text_equals_the_tokenizer(tokenizer, text):
+    ids = WordEncoder(PATH).encode([text.encode()])[0]
+    assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
