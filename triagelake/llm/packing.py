@@ -17,7 +17,6 @@ them apart.  A row without id is packed like any other.  An empty table gives an
 from __future__ import annotations
 
 import re
-import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -27,7 +26,6 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-import regex
 from tokenizers import Tokenizer
 
 from triagelake.llm.common import stored
@@ -41,8 +39,6 @@ _LETTERS = re.compile("[a-zß-öø-ÿāăąćĉċčďđēĕėęěœšž]+")
 #: Fixed value: the characters with the Unicode White_Space property, which the tokenizer's normaliser replaces by one space.
 _WHITE = re.compile(b"(?:[\t\n\x0b\x0c\r ]|\xc2\x85|\xc2\xa0|\xe1\x9a\x80|\xe2\x80[\x80-\x8a]|\xe2\x80\xa8|\xe2\x80\xa9|"
                     b"\xe2\x80\xaf|\xe2\x81\x9f|\xe3\x80\x80)+")
-#: A piece ending in a letter or digit, after NFC and lower case.
-_ENDS_WORD = regex.compile(r"[\p{L}\p{N}]$")
 #: ASCII punctuation but for the apostrophe, behind a word: one unit of the tokenizer of its own.
 _BEHIND = b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
 
@@ -72,13 +68,13 @@ class WordEncoder(dict):
         low = word.lower()
         core = low.rstrip(_BEHIND)
         text = core.decode("utf-8", "replace")
-        if core and len(core) < len(low) and b"<|" not in word and _ENDS_WORD.search(
-                unicodedata.normalize("NFC", core.decode("utf-8", "replace")).lower()):
-            # Only behind a letter or digit is the trailing punctuation a piece of its own; behind any other sign it joins it.
+        if core and len(core) < len(low) and b"<|" not in word and core[-1:].isalnum():
+            # Behind an ASCII letter or digit the trailing punctuation is a piece of its own.  Behind any other character the
+            # tokenizer's own letter classes decide (their Unicode version may differ from any table here): the whole word goes to it.
             found = self[core] + self[low[len(core):]]
         elif core.isalpha():  # plain ASCII letters
             found = b"".join([t.id.to_bytes(4, "little") for t in self.unit(text)])
-        elif _LETTERS.fullmatch(text):
+        elif len(core) == len(low) and _LETTERS.fullmatch(text):
             found = b"".join([t.id.to_bytes(4, "little") for t in self.unit("".join(map(self.letters.__getitem__, core)))])
         else:
             found = self._whole(word.decode("utf-8", "replace"))
