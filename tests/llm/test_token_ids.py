@@ -7,7 +7,11 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from triagelake.llm.token_ids import ChunkEncoder, decode_ranks, encode_ranks, read_token_files, token_ids, write_token_files
+import pyarrow as pa
+
+from triagelake.llm.packing import WordEncoder
+from triagelake.llm.token_ids import (decode_batch, decode_ranks, encode_batch, encode_ranks, read_token_files, token_ids,
+                                       write_token_files)
 
 from .conftest import clashing
 
@@ -21,16 +25,20 @@ def tokenizer():
     return Tokenizer.from_file(PATH)
 
 
-def test_chunks_equal_the_whole_text(tokenizer):
-    encoder = ChunkEncoder(PATH)
+def words(encoder, text):
+    return np.frombuffer(encoder.encode([text.encode()])[0], "<u4").tolist()
+
+
+def test_words_equal_the_whole_text(tokenizer):
+    encoder = WordEncoder(PATH)
     for text in HARD:
-        assert np.frombuffer(encoder.encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+        assert words(encoder, text) == tokenizer.encode(text, add_special_tokens=False).ids
 
 
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.characters(codec="utf-8"), max_size=40))
-def test_chunks_equal_the_whole_text_for_any_text(tokenizer, text):
-    assert np.frombuffer(ChunkEncoder(PATH).encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+def test_words_equal_the_whole_text_for_any_text(tokenizer, text):
+    assert words(WordEncoder(PATH), text) == tokenizer.encode(text, add_special_tokens=False).ids
 
 
 def test_code_round_trip():
@@ -44,6 +52,18 @@ def test_code_round_trip():
     assert small[1] == bytes(range(256))  # a rank below 256 is one byte
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.integers(0, (1 << 32) - 1), max_size=11), max_size=9))
+def test_batch_code_equals_the_code_of_each_row(rows):
+    n = np.array([len(r) for r in rows], dtype=np.int64)
+    flat = np.array([v for r in rows for v in r], dtype=np.int64)
+    control, data = encode_batch(flat, n)
+    assert [(c, d) for c, d in zip(control.to_pylist(), data.to_pylist())] == [encode_ranks(np.array(r, dtype=np.int64)) for r in rows]
+    assert decode_batch(control, data, n).tolist() == flat.tolist()
+    if len(rows) > 1:  # a slice of a batch reads its own rows only
+        assert decode_batch(control.slice(1), data.slice(1), n[1:]).tolist() == [v for r in rows[1:] for v in r]
+
+
 def plain(rows, tokenizer):
     """The contract by hand: (doc_id, n_tokens, crc) of each row, ids with the end id."""
     out = []
@@ -90,10 +110,10 @@ def test_empty_table(documents, spark):
 
 
 def test_a_full_cache_starts_anew(tokenizer, monkeypatch):
-    from triagelake.llm import token_ids as module
+    from triagelake.llm import packing
 
-    monkeypatch.setattr(module, "CHUNKS_KEPT", 3)
-    encoder = ChunkEncoder(PATH)
+    monkeypatch.setattr(packing, "WORDS_KEPT", 3)
+    encoder = WordEncoder(PATH)
     for texts in (["a b", "c"], ["a b c d e", "a"], ["b"]):
         for text in texts:
-            assert np.frombuffer(encoder.encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+            assert words(encoder, text) == tokenizer.encode(text, add_special_tokens=False).ids

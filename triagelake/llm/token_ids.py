@@ -2,9 +2,9 @@
 
 Tokens.  Each document is encoded by the tokenizer file without special tokens, and the end id is appended.  The tokenizer's own
 normaliser turns every run of Unicode white space into one space, and its splitting pattern never joins pieces across a space, so
-the ids of a text are the ids of its white-space separated chunks, one after the other; each distinct chunk is encoded once per
-process by the tokenizer itself (at most ``CHUNKS_KEPT`` are remembered, then it starts anew).  A chunk is split by the exact set of
-Unicode white space, not by Python's, which also counts the separators U+001C..U+001F.
+the ids of a text are the ids of its white-space separated words, one after the other; each distinct word is encoded once per
+process (the word encoder of the packing operator, whose ids equal the tokenizer's on whole texts).  Ids of a whole Arrow batch are
+put into the code at once, and read from it at once: numpy over the concatenated streams, no step per document.
 
 Ranks.  Ids are counted in every task (a vector as long as the vocabulary), the counts summed by id, and ranked by falling count,
 ties by id.  The rank table is as long as the vocabulary at most, which bounds what the driver reads and what every task gets.
@@ -25,10 +25,8 @@ Very long texts are encoded whole; a block then holds that one document.  Other
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,54 +35,27 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from triagelake.llm.common import stored
+from triagelake.llm.packing import encoder
 from triagelake.sources.session import fresh_path
 
 BLOCK_IDS = 1 << 20
-CHUNKS_KEPT = 500_000
-
-#: Fixed value: the characters with the Unicode White_Space property, which the tokenizer's normaliser replaces by one space.
-_WHITE = re.compile("[\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 
 #: Control byte to the byte lengths of its four values: bits 0-1 hold the first length less one, and so on.
 LENGTHS = ((np.arange(256)[:, None] >> (2 * np.arange(4))) & 3).astype(np.int64) + 1
 
 
-class ChunkEncoder(dict):
-    """Ids of each white-space separated chunk met so far, as little-endian unsigned 32-bit bytes."""
-
-    def __init__(self, path: str) -> None:
-        super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
-
-    def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= CHUNKS_KEPT:
-            self.clear()
-        found = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        self[chunk] = found
-        return found
-
-    def encode(self, text: str) -> bytes:
-        return b"".join([self[c] for c in _WHITE.split(text) if c])
-
-
-@lru_cache(maxsize=1)
-def chunk_encoder(path: str) -> ChunkEncoder:
-    return ChunkEncoder(path)
-
-
 def tokens(docs: DataFrame, path: str, end: int = 2) -> DataFrame:
     """doc_id, tie (checksum of the text, orders rows that repeat an id), n (ids) and the ids (end id last) of every row, in the
     code of the files with the ids themselves in place of ranks: ``control`` and ``data``.  Stored and shuffled in this form."""
     closing = np.array([end], dtype="<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = chunk_encoder(path)
+        words = encoder(path)
         for batch in batches:
-            ids = [np.frombuffer(words.encode(t or "") + closing, "<u4") for t in batch.column("text").to_pylist()]
-            coded = [encode_ranks(i) for i in ids]
-            n = [len(i) for i in ids]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tie"), pa.array(n, pa.int64()),
-                                              pa.array([c[0] for c in coded], pa.binary()), pa.array([c[1] for c in coded], pa.binary())],
+            texts = words.encode([t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()])
+            n = np.array([len(t) // 4 + 1 for t in texts], dtype=np.int64)
+            control, data = encode_batch(np.frombuffer(b"".join([t + closing for t in texts]), "<u4"), n)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tie"), pa.array(n, pa.int64()), control, data],
                                              names=["doc_id", "tie", "n", "control", "data"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
@@ -92,18 +63,13 @@ def tokens(docs: DataFrame, path: str, end: int = 2) -> DataFrame:
     return rows.mapInArrow(encode, "doc_id long, tie long, n long, control binary, data binary")
 
 
-def _ids(control: bytes, data: bytes, n: int) -> np.ndarray:
-    return decode_ranks(control, data, n)
-
-
 def counts(ids: DataFrame, vocabulary: int) -> DataFrame:
     """id, count: all ids, counted in each task as one vector and summed by id."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(vocabulary, dtype=np.int64)
         for batch in batches:
-            for control, data, n in zip(batch.column("control").to_pylist(), batch.column("data").to_pylist(),
-                                        batch.column("n").to_pylist()):
-                total += np.bincount(_ids(control, data, n), minlength=vocabulary)[:vocabulary]
+            ids = decode_batch(batch.column("control"), batch.column("data"), batch.column("n").to_numpy(zero_copy_only=False))
+            total += np.bincount(ids, minlength=vocabulary)[:vocabulary]
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["id", "count"])
 
@@ -129,15 +95,62 @@ def encode_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
 
 def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
     """The ``n`` ranks of a control and a data stream, by table lookup: no loop over values."""
-    lengths = LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[:n]
+    return _values(LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[:n], np.frombuffer(data, np.uint8))
+
+
+def _values(lengths: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """Values of byte lengths ``lengths`` read one after the other from ``data``, little-endian."""
     starts = np.cumsum(lengths) - lengths
-    padded = np.concatenate([np.frombuffer(data, np.uint8), np.zeros(3, np.uint8)]).astype(np.int64)
-    values = np.zeros(n, dtype=np.int64)
+    padded = np.concatenate([data, np.zeros(3, np.uint8)]).astype(np.int64)
+    values = np.zeros(len(lengths), dtype=np.int64)
     for k in range(4):
         values |= np.where(lengths > k, padded[starts + k], 0) << (8 * k)
     return values
 
 
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets (from 0, one more than rows) and bytes of a binary column without nulls."""
+    column = column.cast(pa.binary())
+    buffers = column.buffers()
+    offsets = np.frombuffer(buffers[1], np.int32)[column.offset: column.offset + len(column) + 1].astype(np.int64)
+    values = np.frombuffer(buffers[2], np.uint8) if buffers[2] is not None else np.zeros(0, np.uint8)
+    return offsets - offsets[0], values[offsets[0]: offsets[-1]]
+
+
+def _binary(offsets: np.ndarray, values: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1,
+                                 [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def encode_batch(ranks: np.ndarray, n: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """Control and data bytes of many rows at once: ``ranks`` holds the values of all rows one after the other, ``n`` how many
+    each row has.  Equal, row by row, to ``encode_ranks`` of each row's values."""
+    ranks = ranks.astype(np.uint32)
+    n = np.asarray(n, dtype=np.int64)
+    lengths = 1 + (ranks > 0xFF).astype(np.int64) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
+    groups = (n + 3) // 4
+    group_ends = np.cumsum(groups)
+    row_starts = np.cumsum(n) - n
+    owner = np.repeat(np.arange(len(n)), n)
+    codes = np.zeros(4 * int(group_ends[-1]) if len(n) else 0, dtype=np.uint8)
+    codes[4 * (group_ends - groups)[owner] + np.arange(len(ranks)) - row_starts[owner]] = lengths - 1
+    control = (codes[0::4] | codes[1::4] << 2 | codes[2::4] << 4 | codes[3::4] << 6).astype(np.uint8)
+    data = ranks.astype("<u4").view(np.uint8).reshape(-1, 4)[np.arange(4) < lengths[:, None]]
+    byte_ends = np.concatenate([[0], np.cumsum(lengths)])
+    return (_binary(np.concatenate([[0], group_ends]), control),
+            _binary(byte_ends[np.concatenate([[0], np.cumsum(n)])], data))
+
+
+def decode_batch(control: pa.Array, data: pa.Array, n: np.ndarray) -> np.ndarray:
+    """The values of all rows of a control and a data column, one row after the other: two table lookups over the batch."""
+    n = np.asarray(n, dtype=np.int64)
+    control_offsets, control_bytes = _flat(control)
+    slots = 4 * np.diff(control_offsets)
+    lengths = LENGTHS[control_bytes].reshape(-1)
+    within = np.arange(len(lengths)) - np.repeat(4 * control_offsets[:-1], slots)
+    return _values(lengths[within < np.repeat(n, slots)], _flat(data)[1])
+
+
 BLOCKS = ("part int, block int, part_start long, doc_ids array<bigint>, n_docs int, n_ids long, "
           "length_control binary, length_data binary, control binary, data binary")
 
@@ -170,12 +183,13 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end: int = 2,
         part = None
         size = 0
         for batch in batches:
-            parts_seen = batch.column("part").to_pylist()
-            for d, control, data, n, p in zip(batch.column("doc_id").to_pylist(), batch.column("control").to_pylist(),
-                                              batch.column("data").to_pylist(), batch.column("n").to_pylist(), parts_seen):
+            counts_seen = batch.column("n").to_numpy(zero_copy_only=False)
+            every = decode_batch(batch.column("control"), batch.column("data"), counts_seen)
+            for d, p, ids in zip(batch.column("doc_id").to_pylist(), batch.column("part").to_pylist(),
+                                 np.split(every, np.cumsum(counts_seen)[:-1])):
                 part = p
-                held.append((d, _ids(control, data, n)))
-                size += n
+                held.append((d, ids))
+                size += len(ids)
                 if size >= BLOCK_IDS:
                     yield flush()
                     part_start, block, held, size = part_start + size, block + 1, [], 0
