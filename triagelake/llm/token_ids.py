@@ -4,7 +4,8 @@ Tokens.  Each document is encoded by the tokenizer file without special tokens,
 normaliser turns every run of Unicode white space into one space, and its splitting pattern never joins pieces across a space, so
 the ids of a text are the ids of its white-space separated words, one after the other; each distinct word is encoded once per
 process (the word encoder of the packing operator, whose ids equal the tokenizer's on whole texts).  Ids of a whole Arrow batch are
-put into the code at once, and read from it at once: numpy over the concatenated streams, no step per document.
+put into the code at once, and read from it at once, in slices of ``SLICE_ROWS`` rows: numpy over the concatenated streams, no step
+per document.
 
 Ranks.  Ids are counted in every task (a vector as long as the vocabulary), the counts summed by id, and ranked by falling count,
 ties by id.  The rank table is as long as the vocabulary at most, which bounds what the driver reads and what every task gets.
@@ -39,11 +40,20 @@ from triagelake.llm.packing import encoder
 from triagelake.sources.session import fresh_path
 
 BLOCK_IDS = 1 << 20
+#: Rows put into the code, or read from it, at once.
+SLICE_ROWS = 512
 
 #: Control byte to the byte lengths of its four values: bits 0-1 hold the first length less one, and so on.
 LENGTHS = ((np.arange(256)[:, None] >> (2 * np.arange(4))) & 3).astype(np.int64) + 1
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """The rows of all batches in slices of at most ``rows`` rows: what numpy holds at once is bounded by the slice, not the batch."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def tokens(docs: DataFrame, path: str, end: int = 2) -> DataFrame:
     """doc_id, tie (checksum of the text, orders rows that repeat an id), n (ids) and the ids (end id last) of every row, in the
     code of the files with the ids themselves in place of ranks: ``control`` and ``data``.  Stored and shuffled in this form."""
@@ -51,7 +61,7 @@ def tokens(docs: DataFrame, path: str, end: int = 2) -> DataFrame:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(path)
-        for batch in batches:
+        for batch in _slices(batches):
             texts = words.encode([t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()])
             n = np.array([len(t) // 4 + 1 for t in texts], dtype=np.int64)
             control, data = encode_batch(np.frombuffer(b"".join([t + closing for t in texts]), "<u4"), n)
@@ -67,7 +77,7 @@ def counts(ids: DataFrame, vocabulary: int) -> DataFrame:
     """id, count: all ids, counted in each task as one vector and summed by id."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(vocabulary, dtype=np.int64)
-        for batch in batches:
+        for batch in _slices(batches):
             ids = decode_batch(batch.column("control"), batch.column("data"), batch.column("n").to_numpy(zero_copy_only=False))
             total += np.bincount(ids, minlength=vocabulary)[:vocabulary]
         seen = np.flatnonzero(total)
@@ -182,7 +192,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end: int = 2,
 
         part = None
         size = 0
-        for batch in batches:
+        for batch in _slices(batches):
             counts_seen = batch.column("n").to_numpy(zero_copy_only=False)
             every = decode_batch(batch.column("control"), batch.column("data"), counts_seen)
             for d, p, ids in zip(batch.column("doc_id").to_pylist(), batch.column("part").to_pylist(),
