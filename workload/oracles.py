@@ -553,6 +553,8 @@ ORACLES: dict[str, str] = {
     "risk_defense_evasion": one_risk("Defense evasion behavior"),
     "risk_injection": one_risk("Process injection-like activity"),
     "risk_lolbins": one_risk("LOLBins execution"),
+    "risk_injection_joined": one_risk("Process injection-like activity"),
+    "risk_lolbins_joined": one_risk("LOLBins execution"),
     "risks": f"{risks()} SELECT task_id, pos, 'risk_' || pos AS id, title, severity, reason, evidence_ref FROM risk",
     "evidence_packages": f"{packages()} SELECT task_id, evidence_package FROM package",
     "prompts": f"{packages()} SELECT task_id, {q(SYSTEM)} AS system_prompt, {USER} AS user_prompt FROM package",

@@ -14,6 +14,7 @@ from triagelake.functions.variants import clamp_unit, strict_json, typed_at
 from triagelake.operators import artifacts, tables
 from triagelake.operators.assessments import TEAMS, json_blob, spread_entries, spread_lists, validate_replies
 from triagelake.operators.detectors import findings_of
+from triagelake.operators.rule_tables import joined_findings
 from triagelake.operators.evidence import IOC_KINDS, normalize_reports
 from triagelake.operators.markdown import render_markdown
 from triagelake.operators.prompts import build_prompts, evidence_packages, request_payloads
@@ -170,6 +171,14 @@ def _one_risk(rule: str, options: TriageOptions = TriageOptions()) -> Query:
     return query
 
 
+def _joined_risk(rule: str) -> Query:
+    """Findings of a process rule by a semi join of all processes (or calls) against the rule table; equal to the in-row form."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return joined_findings(evidence(spark, sf_dir), rule).drop("pos")
+
+    return query
+
+
 def report_read_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What becomes of reports that hold bare NaN, are cut, too deep, no object, or missing."""
     pages = page_reports(configure(spark), sf_dir)
@@ -427,6 +436,8 @@ QUERIES: dict[str, Query] = {
     "risk_defense_evasion": _one_risk("defense_evasion"),
     "risk_injection": _one_risk("injection"),
     "risk_lolbins": _one_risk("system_binaries"),
+    "risk_injection_joined": _joined_risk("injection"),
+    "risk_lolbins_joined": _joined_risk("system_binaries"),
     "risks": _evidence_table(tables.risks),
     "evidence_packages": evidence_packages_query,
     "page_evidence_packages": page_evidence_packages,
