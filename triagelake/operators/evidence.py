@@ -266,6 +266,19 @@ def _config() -> str:
     return case((filled, spaced_json("ordered.config_0")), otherwise=_records_only("config_1", "ordered.config_1"))
 
 
+def behavior_entries(reports: DataFrame) -> DataFrame:
+    """row, task_id, kind, pos (from 1), text: every entry of the seven behaviour lists of every report as display text, one row per
+    entry.  ``row`` tells reports apart, also those that repeat a task_id.  Nothing is cleaned, dropped or cut: this is the long
+    input of ``long_evidence.first_distinct``."""
+    texts = display_text_lists(*(f"raw_{name}" for name in BEHAVIOR_LISTS))
+    labelled = ", ".join(
+        f"transform(coalesce(bt[{at}], array()), (v, i) -> named_struct('kind', '{name}', 'pos', i + 1, 'text', v))"
+        for at, name in enumerate(BEHAVIOR_LISTS))
+    areas = _areas(reports).select(F.monotonically_increasing_id().alias("row"), "task_id", F.expr(texts).alias("bt"))
+    return areas.selectExpr("row", "task_id", f"explode(concat({labelled})) AS e").selectExpr("row", "task_id", "e.kind", "e.pos",
+                                                                                           "e.text")
+
+
 def normalize_reports(reports: DataFrame, options: TriageOptions = TriageOptions()) -> DataFrame:
     """Evidence of each report. ``reports`` needs ``task_id`` and the report JSON in ``raw``.
 

@@ -535,6 +535,7 @@ ORACLES: dict[str, str] = {
         count(*) FILTER (e % 4 = 0) + CASE WHEN u % 11 = 0 THEN 1 ELSE 0 END AS signature_count,
         count(*) + CASE WHEN u % 11 = 0 THEN 1 ELSE 0 END AS process_count FROM ev GROUP BY u, e // 16384""",
     "behavior_artifacts": f"WITH {EV}, {USERS}, {artifacts()} SELECT task_id, kind, pos, value FROM art",
+    "behavior_artifacts_long": f"WITH {EV}, {USERS}, {artifacts()} SELECT task_id, kind, pos, value FROM art",
     "process_highlights": f"""WITH {EV}, {PROC} SELECT task_id, pos, id, process_name, pid, coalesce(suspicious_api_calls, '') AS suspicious_api_calls,
         command_line FROM proc LEFT JOIN (SELECT task_id, id, string_agg(api, '|' ORDER BY call_pos) AS suspicious_api_calls FROM api GROUP BY ALL)
         USING (task_id, id)""",

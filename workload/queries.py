@@ -15,7 +15,8 @@ from triagelake.operators import artifacts, tables
 from triagelake.operators.assessments import TEAMS, json_blob, spread_entries, spread_lists, validate_replies
 from triagelake.operators.detectors import findings_of
 from triagelake.operators.rule_tables import joined_findings
-from triagelake.operators.evidence import IOC_KINDS, normalize_reports
+from triagelake.operators.evidence import BEHAVIOR_LISTS, IOC_KINDS, behavior_entries, normalize_reports
+from triagelake.operators.long_evidence import first_distinct
 from triagelake.operators.markdown import render_markdown
 from triagelake.operators.prompts import build_prompts, evidence_packages, request_payloads
 from triagelake.operators.responses import classify_responses, pair_responses
@@ -179,6 +180,13 @@ def _joined_risk(rule: str) -> Query:
     return query
 
 
+def behavior_artifacts_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``behavior_artifacts`` from one row per list entry: repeats dropped and lists cut by aggregation and distributed numbering."""
+    options = TriageOptions()
+    kinds = {name: (size, redact and options.redact_pii) for name, (size, redact) in BEHAVIOR_LISTS.items()}
+    return first_distinct(behavior_entries(reports_raw(configure(spark), sf_dir)), kinds, options.max_input_events)
+
+
 def report_read_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What becomes of reports that hold bare NaN, are cut, too deep, no object, or missing."""
     pages = page_reports(configure(spark), sf_dir)
@@ -420,6 +428,7 @@ QUERIES: dict[str, Query] = {
     "report_samples": _evidence_table(tables.samples),
     "report_scores": _evidence_table(tables.scores),
     "behavior_artifacts": _evidence_table(tables.behavior_artifacts),
+    "behavior_artifacts_long": behavior_artifacts_long,
     "process_highlights": _evidence_table(tables.process_highlights),
     "process_apis": _evidence_table(tables.process_apis),
     "signatures": _evidence_table(tables.signatures),
