@@ -32,7 +32,7 @@ from triagelake.llm.common import stored
 
 LENGTH = 4096
 GROUP = 5_000
-WORDS_KEPT = 800_000
+WORDS_KEPT = 250_000
 
 #: Letters whose lower case is one letter and which the tokenizer takes as such.
 _LETTERS = re.compile("[a-zß-öø-ÿāăąćĉċčďđēĕėęěœšž]+")
