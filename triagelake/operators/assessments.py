@@ -28,6 +28,7 @@ from triagelake.operators.evidence import IOC_KINDS
 from triagelake.operators.responses import BROKEN, FAILED, OK
 from triagelake.operators.tables import exploded, kind_rows
 
+# The teams that actions are meant for, and the model metadata fields with the length each is cut to.
 TEAMS = ("soc", "ir", "reverse")
 METADATA = {"provider": 60, "model": 80, "prompt_version": 30}
 
@@ -45,6 +46,7 @@ ASSESSMENT_COLUMNS = (
 
 def default_assessment() -> dict[str, Any]:
     """An assessment in which nothing was stated; prompts show it as the expected schema."""
+    # The keys and empty values of an assessment.
     return {
         "status": "ok",
         "error_type": "",

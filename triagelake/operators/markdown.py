@@ -70,6 +70,7 @@ _TECHNIQUE = concat(
 
 def render_markdown(assessments: DataFrame) -> DataFrame:
     """``task_id, markdown``: the analyst's view of each assessment."""
+    # The headings, labels and placeholders of the summary, in the order they are shown.
     lines = [
         "'# LLM Assessment Summary'", "''", "'## Executive Verdict'",
         concat("'- Status: `'", "status", "'`'"),
