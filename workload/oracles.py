@@ -533,7 +533,8 @@ ORACLES: dict[str, str] = {
     "report_lines": f"""WITH {EV} SELECT CAST(u * 1000 + e // 16384 AS VARCHAR) AS task_id, CASE WHEN u % 6 <> 0 THEN CASE WHEN u % 11 % 2 = 0
           THEN CAST(u % 11 // 2 AS VARCHAR) ELSE u % 11 // 2 || '.5' END END AS malscore,
         count(*) FILTER (e % 4 = 0) + CASE WHEN u % 11 = 0 THEN 1 ELSE 0 END AS signature_count,
-        count(*) + CASE WHEN u % 11 = 0 THEN 1 ELSE 0 END AS process_count FROM ev GROUP BY u, e // 16384""",
+        count(*) + CASE WHEN u % 11 = 0 THEN 1 ELSE 0 END AS process_count FROM ev GROUP BY u, e // 16384
+        UNION ALL SELECT NULL AS task_id, NULL AS malscore, 1 AS signature_count, 0 AS process_count FROM pages""",
     "behavior_artifacts": f"WITH {EV}, {USERS}, {artifacts()} SELECT task_id, kind, pos, value FROM art",
     "behavior_artifacts_long": f"WITH {EV}, {USERS}, {artifacts()} SELECT task_id, kind, pos, value FROM art",
     "process_highlights": f"""WITH {EV}, {PROC} SELECT task_id, pos, id, process_name, pid, coalesce(suspicious_api_calls, '') AS suspicious_api_calls,

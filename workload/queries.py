@@ -203,10 +203,9 @@ def report_read_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reports written as lines and read back by the line reader."""
+    """All reports written as lines and read back by the line reader; page reports hold no ``info.id``, so their task_id is NULL."""
     path = fresh_path(configure(spark), "report-lines")
-    reports = reports_raw(spark, sf_dir)
-    reports.where("task_id LIKE 'u%'").select("raw").write.text(path)
+    reports_raw(spark, sf_dir).select("raw").write.text(path)
     return tables.scores(normalize_reports(read_report_lines(spark, path)))
 
 
