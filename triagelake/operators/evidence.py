@@ -279,6 +279,28 @@ def behavior_entries(reports: DataFrame) -> DataFrame:
                                                                                            "e.text")
 
 
+def ioc_entries(reports: DataFrame) -> DataFrame:
+    """row, task_id, kind, pos (from 1), text: the entries that indicators are made of, one row each, from one reading of each report:
+    ``keys``, ``files``, ``mutexes`` (display text), ``hashes`` (the md5, sha1 and sha256 of the target file) and ``domains``,
+    ``ips``, ``urls`` (canonical, as the row form makes them).  Nothing is dropped, cut or cleaned."""
+    urls = f"transform(filter(raw_requests, r -> r IS NOT NULL), r -> {first_truthy('r.uri', 'r.url')})"
+    lists = {
+        **{name: f"lt[{at}]" for at, name in enumerate(("keys", "files", "mutexes"))},
+        "hashes": f"slice({display_texts(array(*(f'target.file.{name}' for name in FILE_FIELDS)))}, 3, 3)",
+        **{name: f"transform(nt[{at}], cv -> {canonical('cv')})"
+           for at, (name, canonical) in enumerate((("domains", canonical_domain), ("ips", canonical_ip), ("urls", canonical_url)))},
+    }
+    labelled = ", ".join(
+        f"transform(coalesce({values}, array()), (v, i) -> named_struct('kind', '{name}', 'pos', i + 1, 'text', v))"
+        for name, values in lists.items())
+    areas = _areas(reports).select(
+        F.monotonically_increasing_id().alias("row"), "task_id", "target",
+        F.expr(display_text_lists(*(f"raw_{name}" for name in ("keys", "files", "mutexes")))).alias("lt"),
+        F.expr(display_text_lists(_field("raw_domains", "domain"), _field("raw_hosts", "ip"), urls)).alias("nt"))
+    return areas.selectExpr("row", "task_id", f"explode(concat({labelled})) AS e").selectExpr("row", "task_id", "e.kind", "e.pos",
+                                                                                           "e.text")
+
+
 def normalize_reports(reports: DataFrame, options: TriageOptions = TriageOptions()) -> DataFrame:
     """Evidence of each report. ``reports`` needs ``task_id`` and the report JSON in ``raw``.
 

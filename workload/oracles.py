@@ -543,6 +543,7 @@ ORACLES: dict[str, str] = {
     "process_apis": f"WITH {EV}, {PROC} SELECT task_id, id AS process_id, call_pos, api FROM api",
     "signatures": f"WITH {EV}, {PG}, {SIG} SELECT task_id, pos, id, name, severity, description, families, ttp FROM sig",
     "iocs": f"WITH {EV}, {USERS}, {PG}, {artifacts()}, {NET} SELECT task_id, kind, pos, value FROM ioc",
+    "iocs_long": f"WITH {EV}, {USERS}, {PG}, {artifacts()}, {NET} SELECT task_id, kind, pos, value FROM ioc",
     "network_highlights": f"""WITH {EV}, {USERS}, {PG}, {artifacts()}, {NET} SELECT task_id, pos, 'net_' || pos AS id, 'domain' AS type, value
         FROM ioc WHERE kind = 'domains' AND pos <= 10""",
     "network_summary": f"""WITH {EV}, {USERS}, {PG}, {artifacts()}, {NET}, {TRAFFIC} SELECT task_id, kind, pos, value FROM traffic

@@ -15,8 +15,8 @@ from triagelake.operators import artifacts, tables
 from triagelake.operators.assessments import TEAMS, json_blob, spread_entries, spread_lists, validate_replies
 from triagelake.operators.detectors import findings_of
 from triagelake.operators.rule_tables import joined_findings
-from triagelake.operators.evidence import BEHAVIOR_LISTS, IOC_KINDS, behavior_entries, normalize_reports
-from triagelake.operators.long_evidence import first_distinct
+from triagelake.operators.evidence import BEHAVIOR_LISTS, HASH_LIMIT, IOC_KINDS, behavior_entries, ioc_entries, normalize_reports
+from triagelake.operators.long_evidence import first_distinct, ioc_lists
 from triagelake.operators.markdown import render_markdown
 from triagelake.operators.prompts import build_prompts, evidence_packages, request_payloads
 from triagelake.operators.responses import classify_responses, pair_responses
@@ -187,6 +187,14 @@ def behavior_artifacts_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first_distinct(behavior_entries(reports_raw(configure(spark), sf_dir)), kinds, options.max_input_events)
 
 
+def iocs_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``iocs`` from one row per list entry, by aggregations and distributed numbering."""
+    options = TriageOptions()
+    kinds = {name: (size, redact and options.redact_pii) for name, (size, redact) in BEHAVIOR_LISTS.items()}
+    return ioc_lists(ioc_entries(reports_raw(configure(spark), sf_dir)), kinds, options.max_input_events,
+                     options.max_network_artifacts, HASH_LIMIT)
+
+
 def report_read_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What becomes of reports that hold bare NaN, are cut, too deep, no object, or missing."""
     pages = page_reports(configure(spark), sf_dir)
@@ -432,6 +440,7 @@ QUERIES: dict[str, Query] = {
     "process_apis": _evidence_table(tables.process_apis),
     "signatures": _evidence_table(tables.signatures),
     "iocs": _evidence_table(tables.iocs),
+    "iocs_long": iocs_long,
     "network_highlights": _evidence_table(tables.network_highlights),
     "network_summary": _evidence_table(tables.network_summary),
     "report_read_status": report_read_status,
