@@ -47,7 +47,8 @@ def test_lists_with_stray_entries_are_cut_after_repeats_are_dropped(evidence):
 @pytest.mark.parametrize(("raw", "status"), [
     ('{"malscore":NaN,"signatures":[{"name":"Emotet"}]}', "ok"), ('{"a":"x, NaN","b":[-Infinity],"signatures":[{"name":"Emotet"}]}', "ok"),
     ("{}", "ok"), ("[1]", "not_object"), ("5", "not_object"), ('{"signatures":[{"name":"Emo', "not_json"), (None, "not_json"), ("", "not_json"),
-    ("[" * 1500 + "]" * 1500, "not_json"),
+    ("[" * 1500 + "]" * 1500, "too_deep"), ('{"a": "' + "[" * 1500 + '"}', "ok"), ('{"a": [' + "{" * 1001, "too_deep"),
+    ("[" * 1000 + "]" * 1000, "not_object"),
 ])
 def test_read_status(evidence, raw, status):
     row = evidence(raw).collect()[0]

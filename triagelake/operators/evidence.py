@@ -84,17 +84,34 @@ ORDERED = f"struct<detections: string, network: {_TRAFFIC_TEXT}, {', '.join(f'co
 
 
 # What became of a report's text. The parser takes neither texts nor single strings beyond its size limits nor very deep nesting.
-READ, NOT_JSON, TOO_LARGE, NOT_OBJECT = "ok", "not_json", "too_large", "not_object"
+READ, NOT_JSON, TOO_LARGE, TOO_DEEP, NOT_OBJECT = "ok", "not_json", "too_large", "too_deep", "not_object"
 READABLE = (READ, NOT_OBJECT)
 #: Bytes from which an unread text counts as too large: the parser's limit for one string.
 LARGE = 20_000_000
+#: Nesting depth of arrays and objects that the JSON reader takes at most.
+DEEPEST = 1000
+
+
+def nesting_depth(text: str) -> str:
+    """SQL: the greatest nesting depth of brackets outside JSON strings, in linear time.
+
+    Escaped backslashes, then escaped quotes are removed, so that the quotes left bound strings; the parts between them at even
+    places lie outside strings.  Their brackets are scanned once, keeping the running and the greatest depth.
+    """
+    bare = f"regexp_replace(regexp_replace({text}, {lit(chr(92) * 4)}, ''), {lit(chr(92) * 2 + chr(34))}, '')"
+    outside = f"array_join(filter(split({bare}, '\"'), (nd, i) -> i % 2 = 0), '')"
+    brackets = f"regexp_replace({outside}, {lit('[^\\[\\]{}]')}, '')"
+    step = "IF(c IN ('[', '{'), 1, IF(c IN (']', '}'), -1, 0))"
+    return (f"aggregate(split({brackets}, ''), named_struct('d', 0, 'm', 0), "
+            f"(a, c) -> named_struct('d', a.d + {step}, 'm', greatest(a.m, a.d + {step}))).m")
 
 
 def read_reports_json(reports: DataFrame) -> DataFrame:
     """``task_id, raw, doc, read_status`` of each report.
 
-    A text with bare NaN or Infinity, which Python writes by default, is read again with these quoted.  ``not_json`` covers missing,
-    cut and too deeply nested texts.  Valid JSON that is no object holds no evidence, but is no failure.
+    A text with bare NaN or Infinity, which Python writes by default, is read again with these quoted.  An unread text is
+    ``too_large`` beyond ``LARGE`` bytes, ``too_deep`` when its brackets nest deeper than ``DEEPEST`` outside strings, else
+    ``not_json`` (missing, cut or broken).  Valid JSON that is no object holds no evidence, but is no failure.
     """
     spelled = "doc_0 IS NULL AND (contains(raw, 'NaN') OR contains(raw, 'Infinity'))"
     first = reports.selectExpr("task_id", "raw", "try_parse_json(raw) AS doc_0")
@@ -102,7 +119,8 @@ def read_reports_json(reports: DataFrame) -> DataFrame:
     doc = case(("doc_0 IS NULL", "try_parse_json(raw)"), otherwise="doc_0")
     read = named.selectExpr("task_id", "raw", f"{doc} AS doc")
     status = case(
-        (f"doc IS NULL AND octet_length(raw) > {LARGE}", lit(TOO_LARGE)), ("doc IS NULL", lit(NOT_JSON)),
+        (f"doc IS NULL AND octet_length(raw) > {LARGE}", lit(TOO_LARGE)),
+        (f"doc IS NULL AND {nesting_depth('raw')} > {DEEPEST}", lit(TOO_DEEP)), ("doc IS NULL", lit(NOT_JSON)),
         (is_record("doc"), lit(READ)), otherwise=lit(NOT_OBJECT),
     )
     return read.selectExpr("task_id", "raw", "doc", f"{status} AS read_status")

@@ -527,7 +527,8 @@ ORACLES: dict[str, str] = {
         count(*) + CASE WHEN u % 11 = 0 THEN 1 ELSE 0 END AS process_count FROM ev GROUP BY task_id, u
         UNION ALL SELECT task_id, NULL, 1, 0 FROM pg""",
     "report_read_status": """SELECT 'p' || page_id AS task_id,
-        CASE WHEN page_id % 8 IN (0, 1, 7) THEN 'ok' WHEN page_id % 8 IN (3, 5) THEN 'not_object' ELSE 'not_json' END AS read_status,
+        CASE WHEN page_id % 8 IN (0, 1, 7) THEN 'ok' WHEN page_id % 8 IN (3, 5) THEN 'not_object' WHEN page_id % 8 = 4 THEN 'too_deep'
+        ELSE 'not_json' END AS read_status,
         CASE WHEN page_id % 8 IN (0, 1, 7) THEN 1 ELSE 0 END AS signature_count,
         CASE WHEN page_id % 8 IN (0, 1, 7) THEN 1 ELSE 0 END AS domains FROM pages""",
     "report_lines": f"""WITH {EV} SELECT CAST(u * 1000 + e // 16384 AS VARCHAR) AS task_id, CASE WHEN u % 6 <> 0 THEN CASE WHEN u % 11 % 2 = 0
