@@ -89,3 +89,25 @@ def test_signs_before_punctuation_and_all_white_space(tokenizer):
 def test_any_text_equals_the_tokenizer(tokenizer, text):
     ids = WordEncoder(PATH).encode([text.encode()])[0]
     assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_lower_case_and_signs_before_the_split_change_nothing(tokenizer):
+    # H, T, W, Y with these marks exist in one character in lower case only; special tokens are told apart by case.
+    texts = ["H̱ T̈ W̊ Y̊ J̌ A, b", "<|ENDOFTEXT|> A, b. <|endoftext|> C", "Yes?!, no... ok, É, é, “A”, 日, x. ", "K, Å, ſ, A. B,\xa0C.\x85D, \x1c, e",
+             "ΑΣ, A, Á, Á, b", "don't, 'S, 5, 6. 7 , . a.b, c", "a ,  b .  c,  d.\n", "—A, B— “C”, D. …E, F"]
+    for text, ids in zip(texts, WordEncoder(PATH).encode([t.encode() for t in texts])):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+def test_a_word_is_tokenized_once_in_all_its_spellings_and_kept_while_used(monkeypatch):
+    from triagelake.llm import packing
+
+    encoder, calls = WordEncoder(PATH), []
+    unit = encoder.unit
+    monkeypatch.setattr(encoder, "unit", lambda word: calls.append(word) or unit(word))
+    encoder.encode([b"Oueonth oueonth, OUEONTH. oueonth", "Ça oueonth. ÇA".encode()])
+    assert calls.count("oueonth") == 1
+    monkeypatch.setattr(packing, "WORDS_KEPT", 20)
+    for i in range(200):
+        encoder.encode([b"oueonth w" + bytes([97 + i // 26, 97 + i % 26])])
+    assert calls.count("oueonth") == 1 and len(encoder) + len(encoder.older) <= 20

@@ -8,7 +8,7 @@ large whatever the input.
 
 Tokens are made where the documents are read; only ids, places and checksums of the pieces are shuffled.  White space always
 separates tokens of this vocabulary, so each distinct word is encoded once per process and looked up afterwards (``WORDS_KEPT``
-words are remembered, then it starts anew).
+words are remembered in two halves; when the newer one is full, the older one goes, but for the words used since).
 
 Defined results: a null or empty text is the end token alone.  Rows that repeat an id are packed each by themselves; ``copy`` tells
 them apart.  A row without id is packed like any other.  An empty table gives an empty result.
@@ -36,9 +36,16 @@ WORDS_KEPT = 250_000
 
 #: Letters whose lower case is one letter and which the tokenizer takes as such.
 _LETTERS = re.compile("[a-zß-öø-ÿāăąćĉċčďđēĕėęěœšž]+")
-#: Fixed value: the characters with the Unicode White_Space property, which the tokenizer's normaliser replaces by one space.
-_WHITE = re.compile(b"(?:[\t\n\x0b\x0c\r ]|\xc2\x85|\xc2\xa0|\xe1\x9a\x80|\xe2\x80[\x80-\x8a]|\xe2\x80\xa8|\xe2\x80\xa9|"
-                    b"\xe2\x80\xaf|\xe2\x81\x9f|\xe3\x80\x80)+")
+#: Fixed value: the characters beyond ASCII with the Unicode White_Space property, which the tokenizer's normaliser replaces by one
+#: space like the six that ``bytes.split`` knows.
+_WHITE = re.compile(b"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2(?:\x80[\x80-\x8a\xa8\xa9\xaf]|\x81\x9f)|\xe3\x80\x80")
+#: Bytes of texts that need no further look: all but the lead bytes of that white space and of characters from U+0300 on.
+_COMMON = bytes([*range(0xC2), *range(0xC3, 0xCC)])
+#: What keeps a text from being put in lower case before it is split: a special token may begin, or a character from U+0300 on (but for
+#: U+2000 to U+203F) may combine with a letter before it in another way than with its lower case.
+_CASED = re.compile(b"<\\||[\xcc-\xe1\xe3-\xff]|\xe2[^\x80]")
+#: The commonest signs between an ASCII letter or digit and a space.
+_COMMA, _STOP = re.compile(b", (?<=[a-z0-9], )"), re.compile(b"[.] (?<=[a-z0-9][.] )")
 #: ASCII punctuation but for the apostrophe, behind a word: one unit of the tokenizer of its own.
 _BEHIND = b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
 
@@ -57,33 +64,55 @@ class WordEncoder(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.unit = self.tokenizer.model.tokenize
-        self.letters = _byte_letters()
+        self.letters = "".join(letter for _, letter in sorted(_byte_letters().items()))
+        self.packed = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size(with_added_tokens=True))]
+        self.older: dict[bytes, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def _unit(self, letters: str) -> bytes:
+        packed = self.packed
+        return b"".join([packed[t.id] for t in self.unit(letters)])
+
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= WORDS_KEPT:
+        if 2 * len(self) >= WORDS_KEPT:
+            self.older = dict(self)
             self.clear()
+        found = self.older.get(word)
+        if found is None:
+            found = self._ids(word)
+        self[word] = found
+        return found
+
+    def _ids(self, word: bytes) -> bytes:
         low = word.lower()
+        if low.isalpha():  # plain ASCII letters
+            return self._unit(low.decode())
         core = low.rstrip(_BEHIND)
-        text = core.decode("utf-8", "replace")
         if core and len(core) < len(low) and b"<|" not in word and core[-1:].isalnum():
             # Behind an ASCII letter or digit the trailing punctuation is a piece of its own.  Behind any other character the
             # tokenizer's own letter classes decide (their Unicode version may differ from any table here): the whole word goes to it.
-            found = self[core] + self[low[len(core):]]
-        elif core.isalpha():  # plain ASCII letters
-            found = b"".join([t.id.to_bytes(4, "little") for t in self.unit(text)])
-        elif len(core) == len(low) and _LETTERS.fullmatch(text):
-            found = b"".join([t.id.to_bytes(4, "little") for t in self.unit("".join(map(self.letters.__getitem__, core)))])
+            return self[core] + self[low[len(core):]]
+        if len(core) == len(low) and _LETTERS.fullmatch(core.decode("utf-8", "replace")):
+            return self._unit(core.decode("latin-1").translate(self.letters))
+        return self._whole(word.decode("utf-8", "replace"))
+
+    def words(self, text: bytes) -> list[bytes]:
+        """The words between white space; where that cannot change what the tokenizer makes of them, with ASCII letters in lower
+        case and a comma or full stop behind a letter or digit as a word of its own (``_ids`` says why), so that fewer differ."""
+        if text.translate(None, _COMMON):
+            text = _WHITE.sub(b" ", text)
+            cased = _CASED.search(text)
         else:
-            found = self._whole(word.decode("utf-8", "replace"))
-        self[word] = found
-        return found
+            cased = b"<|" in text
+        if not cased:
+            text = _STOP.sub(b" . ", _COMMA.sub(b" , ", text.lower()))
+        return text.split()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text, equal to those of the tokenizer on the whole text without special tokens."""
-        return [b"".join(map(self.__getitem__, filter(None, _WHITE.split(t)))) for t in texts]
+        return [b"".join(map(self.__getitem__, self.words(t))) for t in texts]
 
 
 @lru_cache(maxsize=1)
