@@ -1,4 +1,5 @@
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -9,9 +10,10 @@ from tokenizers import Tokenizer
 
 import pyarrow as pa
 
+from triagelake.llm.common import stored
 from triagelake.llm.packing import WordEncoder
-from triagelake.llm.token_ids import (decode_batch, decode_ranks, encode_batch, encode_ranks, read_token_files, token_ids,
-                                       write_token_files)
+from triagelake.llm.token_ids import (counts, decode_batch, decode_ranks, encode_batch, encode_ranks, ranking, read_token_files,
+                                       token_ids, tokens, write_token_files)
 
 from .conftest import clashing
 
@@ -117,3 +119,16 @@ def test_a_full_cache_starts_anew(tokenizer, monkeypatch):
     for texts in (["a b", "c"], ["a b c d e", "a"], ["b"]):
         for text in texts:
             assert words(encoder, text) == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_counts_come_with_the_tokens_and_no_ids_are_read_for_them(documents, tokenizer):
+    rows = [*enumerate(HARD), (None, None), (3, "the same id, the same id")]
+    made = stored(tokens(documents(rows), PATH), "token-counts")
+    wanted = Counter(i for _, t in rows for i in [*tokenizer.encode(t or "", add_special_tokens=False).ids, 2])
+    assert {r["id"]: r["count"] for r in counts(made).collect()} == wanted
+    ranked = ranking(made)
+    assert [r["id"] for r in ranked.orderBy("rank").collect()] == sorted(wanted, key=lambda i: (-wanted[i], i))
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and "control" not in plan
+    assert made.where("n IS NOT NULL").count() == len(rows)
+    assert counts(tokens(documents([]), PATH)).collect() == []

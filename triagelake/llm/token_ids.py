@@ -7,8 +7,9 @@ process (the word encoder of the packing operator, whose ids equal the tokenizer
 put into the code at once, and read from it at once, in slices of ``SLICE_ROWS`` rows: numpy over the concatenated streams, no step
 per document.
 
-Ranks.  Ids are counted in every task (a vector as long as the vocabulary), the counts summed by id, and ranked by falling count,
-ties by id.  The rank table is as long as the vocabulary at most, which bounds what the driver reads and what every task gets.
+Ranks.  Each task counts its ids as it makes them (a vector as long as the vocabulary) and adds the counts as one row behind its
+documents, in columns of their own, so that the ids are not read again for them; the counts are summed by id and ranked by falling
+count, ties by id.  The rank table is as long as the vocabulary at most, which bounds what the driver reads and what every task gets.
 
 The ids are stored and shuffled in the code of the files (with ids in place of ranks), about 2.25 bytes an id.
 
@@ -44,7 +45,7 @@ BLOCK_IDS = 1 << 20
 SLICE_ROWS = 512
 
 #: Control byte to the byte lengths of its four values: bits 0-1 hold the first length less one, and so on.
-LENGTHS = ((np.arange(256)[:, None] >> (2 * np.arange(4))) & 3).astype(np.int64) + 1
+LENGTHS = ((np.arange(256)[:, None] >> (2 * np.arange(4))) & 3).astype(np.uint8) + np.uint8(1)
 
 
 def _slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
@@ -56,51 +57,79 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterat
 
 def tokens(docs: DataFrame, path: str, end: int = 2) -> DataFrame:
     """doc_id, tie (checksum of the text, orders rows that repeat an id), n (ids) and the ids (end id last) of every row, in the
-    code of the files with the ids themselves in place of ranks: ``control`` and ``data``.  Stored and shuffled in this form."""
+    code of the files with the ids themselves in place of ranks: ``control`` and ``data``.  Stored and shuffled in this form.
+
+    Each task adds one row (``n`` is null) with the ids it met, ``seen``, and how often, ``times``; both are null in all other rows.
+    """
     closing = np.array([end], dtype="<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(path)
+        total = np.zeros(0, dtype=np.int64)
         for batch in _slices(batches):
             texts = words.encode([t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()])
             n = np.array([len(t) // 4 + 1 for t in texts], dtype=np.int64)
-            control, data = encode_batch(np.frombuffer(b"".join([t + closing for t in texts]), "<u4"), n)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tie"), pa.array(n, pa.int64()), control, data],
-                                             names=["doc_id", "tie", "n", "control", "data"])
+            ids = np.frombuffer(b"".join([t + closing for t in texts]), "<u4")
+            found = np.bincount(ids, minlength=len(total))
+            found[: len(total)] += total
+            total = found
+            control, data = encode_batch(ids, n)
+            none = pa.nulls(len(n), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tie"), pa.array(n, pa.int64()), control, data,
+                                              none, none], schema=_TOKENS_SCHEMA)
+        if len(total):
+            seen = np.flatnonzero(total)
+            yield pa.RecordBatch.from_pydict({"doc_id": [None], "tie": [None], "n": [None], "control": [None], "data": [None],
+                                              "seen": [seen], "times": [total[seen]]}, schema=_TOKENS_SCHEMA)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("tie"), "text")
-    return rows.mapInArrow(encode, "doc_id long, tie long, n long, control binary, data binary")
+    return rows.mapInArrow(encode, "doc_id long, tie long, n long, control binary, data binary, seen array<bigint>, times array<bigint>")
 
 
-def counts(ids: DataFrame, vocabulary: int) -> DataFrame:
-    """id, count: all ids, counted in each task as one vector and summed by id."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(vocabulary, dtype=np.int64)
-        for batch in _slices(batches):
-            ids = decode_batch(batch.column("control"), batch.column("data"), batch.column("n").to_numpy(zero_copy_only=False))
-            total += np.bincount(ids, minlength=vocabulary)[:vocabulary]
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["id", "count"])
+_TOKENS_SCHEMA = pa.schema([("doc_id", pa.int64()), ("tie", pa.int64()), ("n", pa.int64()), ("control", pa.binary()),
+                            ("data", pa.binary()), ("seen", pa.list_(pa.int64())), ("times", pa.list_(pa.int64()))])
 
-    return ids.select("n", "control", "data").mapInArrow(count, "id long, count long").groupBy("id").agg(F.sum("count").alias("count"))
 
+def counts(ids: DataFrame) -> DataFrame:
+    """id, count: the counts of all tasks, summed by id."""
+    pairs = ids.where("n IS NULL").select(F.inline(F.arrays_zip("seen", "times")))
+    return pairs.groupBy(F.col("seen").alias("id")).agg(F.sum("times").alias("count"))
 
-def ranking(ids: DataFrame, vocabulary: int) -> DataFrame:
-    """rank, id, count: the most frequent id first, ties by id.  As many rows as distinct ids, so at most ``vocabulary``."""
-    return counts(ids, vocabulary).select(
+
+def ranking(ids: DataFrame) -> DataFrame:
+    """rank, id, count: the most frequent id first, ties by id.  As many rows as distinct ids, so at most the vocabulary."""
+    return counts(ids).select(
         (F.row_number().over(Window.orderBy(F.desc("count"), "id")) - 1).alias("rank"), "id", "count")
 
 
+def _lengths(ranks: np.ndarray) -> np.ndarray:
+    """Bytes of each rank, 1 to 4, as unsigned bytes."""
+    one = np.uint8(1)
+    lengths = one + (ranks > 0xFF)
+    if len(ranks) and ranks.max() > 0xFFFF:
+        lengths += (ranks > 0xFFFF)
+        lengths += (ranks > 0xFFFFFF)
+    return lengths
+
+
+def _low_bytes(ranks: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The lowest bytes of each rank, as many as ``lengths`` says, one after the other."""
+    width = 2 if not len(ranks) or lengths.max() <= 2 else 4
+    return ranks.astype(f"<u{width}").view(np.uint8).reshape(-1, width)[np.arange(width, dtype=np.uint8) < lengths[:, None]]
+
+
+def _control(codes: np.ndarray) -> np.ndarray:
+    return codes[0::4] | codes[1::4] << 2 | codes[2::4] << 4 | codes[3::4] << 6
+
+
 def encode_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes and data bytes of unsigned ranks."""
     ranks = ranks.astype(np.uint32)
-    lengths = 1 + (ranks > 0xFF).astype(np.int64) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
+    lengths = _lengths(ranks)
     codes = np.zeros(-(-len(ranks) // 4) * 4, dtype=np.uint8)
     codes[: len(ranks)] = lengths - 1
-    control = (codes[0::4] | codes[1::4] << 2 | codes[2::4] << 4 | codes[3::4] << 6).astype(np.uint8)
-    data = ranks.astype("<u4").view(np.uint8).reshape(-1, 4)[np.arange(4) < lengths[:, None]]
-    return control.tobytes(), data.tobytes()
+    return _control(codes).tobytes(), _low_bytes(ranks, lengths).tobytes()
 
 
 def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
@@ -110,11 +139,11 @@ def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 def _values(lengths: np.ndarray, data: np.ndarray) -> np.ndarray:
     """Values of byte lengths ``lengths`` read one after the other from ``data``, little-endian."""
-    starts = np.cumsum(lengths) - lengths
-    padded = np.concatenate([data, np.zeros(3, np.uint8)]).astype(np.int64)
-    values = np.zeros(len(lengths), dtype=np.int64)
-    for k in range(4):
-        values |= np.where(lengths > k, padded[starts + k], 0) << (8 * k)
+    starts = np.cumsum(lengths, dtype=np.int64) - lengths
+    padded = np.concatenate([data, np.zeros(3, np.uint8)])
+    values = padded[starts].astype(np.int64)
+    for k in range(1, int(lengths.max(initial=1))):
+        values |= (padded[starts + k] * (lengths > k)).astype(np.int64) << (8 * k)
     return values
 
 
@@ -137,18 +166,15 @@ def encode_batch(ranks: np.ndarray, n: np.ndarray) -> tuple[pa.Array, pa.Array]:
     each row has.  Equal, row by row, to ``encode_ranks`` of each row's values."""
     ranks = ranks.astype(np.uint32)
     n = np.asarray(n, dtype=np.int64)
-    lengths = 1 + (ranks > 0xFF).astype(np.int64) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
+    lengths = _lengths(ranks)
     groups = (n + 3) // 4
     group_ends = np.cumsum(groups)
     row_starts = np.cumsum(n) - n
-    owner = np.repeat(np.arange(len(n)), n)
     codes = np.zeros(4 * int(group_ends[-1]) if len(n) else 0, dtype=np.uint8)
-    codes[4 * (group_ends - groups)[owner] + np.arange(len(ranks)) - row_starts[owner]] = lengths - 1
-    control = (codes[0::4] | codes[1::4] << 2 | codes[2::4] << 4 | codes[3::4] << 6).astype(np.uint8)
-    data = ranks.astype("<u4").view(np.uint8).reshape(-1, 4)[np.arange(4) < lengths[:, None]]
-    byte_ends = np.concatenate([[0], np.cumsum(lengths)])
-    return (_binary(np.concatenate([[0], group_ends]), control),
-            _binary(byte_ends[np.concatenate([[0], np.cumsum(n)])], data))
+    codes[np.repeat(4 * (group_ends - groups) - row_starts, n) + np.arange(len(ranks))] = lengths - 1
+    byte_ends = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+    return (_binary(np.concatenate([[0], group_ends]), _control(codes)),
+            _binary(byte_ends[np.concatenate([[0], np.cumsum(n)])], _low_bytes(ranks, lengths)))
 
 
 def decode_batch(control: pa.Array, data: pa.Array, n: np.ndarray) -> np.ndarray:
@@ -170,7 +196,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end: int = 2,
     spark = docs.sparkSession
     vocabulary = Tokenizer.from_file(tokenizer).get_vocab_size(with_added_tokens=True)
     made = stored(tokens(docs, tokenizer, end), "token-ids")
-    ranked = ranking(made, max(vocabulary, end + 1))
+    ranked = ranking(made)
     ranked.write.parquet(f"{path}/vocabulary")
     # One row per distinct id: the vocabulary bounds what the driver reads and ships to the tasks.
     table = spark.read.parquet(f"{path}/vocabulary").select("id", "rank").toPandas()
@@ -207,7 +233,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end: int = 2,
             yield flush()
 
     parts = parts or max(1, made.rdd.getNumPartitions())
-    ordered = (made.repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), "tie")
+    ordered = (made.where("n IS NOT NULL").repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), "tie")
                .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "tie")
                .select(F.spark_partition_id().alias("part"), "doc_id", "n", "control", "data"))
     ordered.mapInArrow(write, BLOCKS).write.parquet(f"{path}/blocks")
