@@ -132,3 +132,63 @@ def test_counts_come_with_the_tokens_and_no_ids_are_read_for_them(documents, tok
     assert "MapInArrow" not in plan and "control" not in plan
     assert made.where("n IS NOT NULL").count() == len(rows)
     assert counts(tokens(documents([]), PATH)).collect() == []
+
+
+@pytest.fixture(scope="module")
+def forgetful():
+    return WordEncoder(PATH, 6)
+
+
+def flat_lists(encoder, texts):
+    ids, n = encoder.flat([t if isinstance(t, bytes) else t.encode() for t in texts], 2)
+    return [i.tolist() for i in np.split(ids, np.cumsum(n)[:-1])] if len(n) else []
+
+
+def test_texts_together_equal_the_whole_texts(tokenizer):
+    texts = [*HARD, " a  b ", "\n", "été, ÉTÉ. naïve### don't*** a,b, C.", "été été, naïve", "<|endoftext|>", "é" * 300 + " é.", "Ünder the, the."]
+    wanted = [[*tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    for kept in (None, 1, 5, 40):  # words may be forgotten while a slice is looked up
+        encoder = WordEncoder(PATH, kept)
+        for _ in range(3):
+            assert flat_lists(encoder, texts) == wanted
+        assert flat_lists(encoder, texts[:1]) == [[2]] and flat_lists(encoder, [""] * 3) == [[2]] * 3
+    assert encoder.flat([], 2)[0].tolist() == []
+
+
+def test_bytes_that_are_no_text_equal_the_word_by_word_path():
+    texts = [b"a \xff\xfe b, \xc3", b"\xe2\x80", b"ok \xc3\xa9."]
+    assert flat_lists(WordEncoder(PATH), texts) == [
+        [*np.frombuffer(t, "<u4").tolist(), 2] for t in WordEncoder(PATH).encode(texts)]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.text(alphabet=st.characters(codec="utf-8"), max_size=30),
+                          st.text(alphabet="aAbéÉß.,'<|> \n1#", max_size=30)), min_size=1, max_size=5))
+def test_any_texts_together_equal_the_whole_texts(tokenizer, forgetful, texts):
+    assert flat_lists(forgetful, texts) == [[*tokenizer.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+
+
+def test_a_word_is_looked_up_once_and_new_words_go_to_the_model_together(monkeypatch):
+    encoder = WordEncoder(PATH)
+    asked, single = [], []
+    many = encoder.many
+    monkeypatch.setattr(encoder, "many", lambda words: asked.append(words) or many(words))
+    monkeypatch.setattr(encoder, "unit", lambda letters: single.append(letters))  # the model, word by word
+    encoder.flat([b"alpha beta alpha, gamma. " * 50, "beta élan ".encode() * 3], 2)
+    assert len(asked) == 1 and sorted(asked[0]) == sorted([b"", b"alpha", b"beta", b",", b"gamma", b".", "élan".encode()])
+    assert single == []
+
+
+def test_units_without_ends_are_found_one_by_one():
+    encoder = WordEncoder(PATH)
+    wanted = encoder._units(["alpha", "beta"])
+    encoder.closes[:] = False
+    assert encoder._units(["alpha", "beta"]) == wanted == [encoder._unit("alpha"), encoder._unit("beta")]
+
+
+def test_slices_of_texts_keep_their_rows(documents, tokenizer, monkeypatch):
+    from triagelake.llm import token_ids as module
+
+    rows = [*enumerate(HARD * 3), (None, None), (40, "a long text " * 99)]
+    monkeypatch.setattr(module, "SLICE_BYTES", 20)
+    holds(token_ids(documents(rows, parts=2), PATH).collect(), rows, tokenizer)

@@ -16,23 +16,27 @@ them apart.  A row without id is packed like any other.  An empty table gives an
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from triagelake.llm.common import stored
 
 LENGTH = 4096
 GROUP = 5_000
 WORDS_KEPT = 250_000
+#: Units that the model gets in one call.
+UNITS = 4096
 
 #: Letters whose lower case is one letter and which the tokenizer takes as such.
 _LETTERS = re.compile("[a-zß-öø-ÿāăąćĉċčďđēĕėęěœšž]+")
@@ -60,14 +64,31 @@ def _byte_letters() -> dict[int, str]:
 class WordEncoder(dict):
     """Little-endian 32-bit token ids of each word met so far, found on demand."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, kept: int | None = None) -> None:
         super().__init__()
+        self.kept = kept
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are parallel already
         self.tokenizer = Tokenizer.from_file(path)
         self.unit = self.tokenizer.model.tokenize
         self.letters = "".join(letter for _, letter in sorted(_byte_letters().items()))
         self.packed = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size(with_added_tokens=True))]
         self.older: dict[bytes, bytes] = {}
 
+    @cached_property
+    def spaced(self) -> Tokenizer:
+        """The model alone, for units apart by spaces."""
+        spaced = Tokenizer(self.tokenizer.model)
+        spaced.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        return spaced
+
+    @cached_property
+    def closes(self) -> np.ndarray:
+        """Which ids end a unit."""
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        closes = np.zeros(len(self.packed), dtype=bool)
+        closes[[i for t, i in self.tokenizer.get_vocab().items() if suffix and t.endswith(suffix)]] = True
+        return closes
+
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
@@ -76,7 +97,7 @@ class WordEncoder(dict):
         return b"".join([packed[t.id] for t in self.unit(letters)])
 
     def __missing__(self, word: bytes) -> bytes:
-        if 2 * len(self) >= WORDS_KEPT:
+        if 2 * len(self) >= (self.kept or WORDS_KEPT):
             self.older = dict(self)
             self.clear()
         found = self.older.get(word)
@@ -98,9 +119,65 @@ class WordEncoder(dict):
             return self._unit(core.decode("latin-1").translate(self.letters))
         return self._whole(word.decode("utf-8", "replace"))
 
-    def words(self, text: bytes) -> list[bytes]:
-        """The words between white space; where that cannot change what the tokenizer makes of them, with ASCII letters in lower
-        case and a comma or full stop behind a letter or digit as a word of its own (``_ids`` says why), so that fewer differ."""
+    def _units(self, units: list[str]) -> list[bytes]:
+        """Ids of each unit, by one call of the model for many of them: the ids that end a unit tell where to cut."""
+        made: list[bytes] = []
+        for at in range(0, len(units), UNITS):
+            some = units[at: at + UNITS]
+            ids = np.array(self.spaced.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
+            ends = 4 * (np.flatnonzero(self.closes[ids]) + 1)
+            if len(ends) == len(some) and ends[-1] == 4 * len(ids):
+                flat, cuts = ids.tobytes(), ends.tolist()
+                made += [flat[a:b] for a, b in zip([0, *cuts], cuts)]
+            else:  # units of this vocabulary have no ends of their own
+                made += map(self._unit, some)
+        return made
+
+    def many(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each of some distinct ``words``.  Those of letters among them that were not met before go to the model together,
+        trailing punctuation apart; the others are found one by one."""
+        found = list(map(self.get, words))
+        lacking = [i for i, ids in enumerate(found) if ids is None]
+        if lacking and 2 * (len(self) + len(lacking)) >= (self.kept or WORDS_KEPT):
+            self.older = dict(self)
+            self.clear()
+        older, rest, units = self.older, [], {}
+        for i in lacking:
+            word = words[i]
+            ids = older.get(word)
+            if ids is not None:
+                found[i] = self[word] = ids
+                continue
+            rest.append(i)
+            core = word if word.isalpha() else word.rstrip(_BEHIND)
+            if core in self or core in older:
+                continue
+            if core.isalpha():
+                units[core] = core.lower().decode()
+            elif len(core) == len(word) and _LETTERS.fullmatch(core.decode("utf-8", "replace")):
+                units[core] = core.decode("latin-1").translate(self.letters)
+        if units:
+            self.update(zip(units, self._units(list(units.values()))))
+        for i in rest:
+            found[i] = self[words[i]]
+        return found
+
+    def flat(self, texts: list[bytes], end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, each with the id ``end`` behind it, and how many each has.  Equal to ``encode``, but
+        each distinct word is looked up once for all texts, and no Python object is made for the others."""
+        # The split is by bytes, so that texts need not be valid UTF-8; "large" types have no limit of 2 GB.
+        spaced = pa.array([self._spaced(t) for t in texts], pa.large_binary()).cast(pa.large_string(), safe=False)
+        split = pc.ascii_split_whitespace(spaced)
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
+        found = pa.array(self.many(words), pa.large_binary()).take(coded.indices)
+        ends = np.frombuffer(found.buffers()[1], np.int64)[: len(found) + 1] // 4 if len(found) else np.zeros(1, np.int64)
+        ids = np.frombuffer(found.buffers()[2] or b"", "<u4")[: ends[-1]]
+        cuts = ends[split.offsets.to_numpy()]
+        return np.insert(ids, cuts[1:], end), np.diff(cuts) + 1
+
+    def _spaced(self, text: bytes) -> bytes:
+        """The text with its words apart by ASCII white space; see ``words``."""
         if text.translate(None, _COMMON):
             text = _WHITE.sub(b" ", text)
             cased = _CASED.search(text)
@@ -108,7 +185,12 @@ class WordEncoder(dict):
             cased = b"<|" in text
         if not cased:
             text = _STOP.sub(b" . ", _COMMA.sub(b" , ", text.lower()))
-        return text.split()
+        return text
+
+    def words(self, text: bytes) -> list[bytes]:
+        """The words between white space; where that cannot change what the tokenizer makes of them, with ASCII letters in lower
+        case and a comma or full stop behind a letter or digit as a word of its own (``_ids`` says why), so that fewer differ."""
+        return self._spaced(text).split()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text, equal to those of the tokenizer on the whole text without special tokens."""
@@ -116,8 +198,8 @@ class WordEncoder(dict):
 
 
 @lru_cache(maxsize=1)
-def encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+def encoder(path: str, kept: int | None = None) -> WordEncoder:
+    return WordEncoder(path, kept)
 
 
 PIECES = "doc_id long, copy long, start long, length long, ids_crc32 long, doc_tokens long, ids binary"

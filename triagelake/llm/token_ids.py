@@ -2,10 +2,11 @@
 
 Tokens.  Each document is encoded by the tokenizer file without special tokens, and the end id is appended.  The tokenizer's own
 normaliser turns every run of Unicode white space into one space, and its splitting pattern never joins pieces across a space, so
-the ids of a text are the ids of its white-space separated words, one after the other; each distinct word is encoded once per
-process (the word encoder of the packing operator, whose ids equal the tokenizer's on whole texts).  Ids of a whole Arrow batch are
-put into the code at once, and read from it at once, in slices of ``SLICE_ROWS`` rows: numpy over the concatenated streams, no step
-per document.
+the ids of a text are the ids of its white-space separated words, one after the other (the word encoder of the packing operator,
+whose ids equal the tokenizer's on whole texts).  Arrow splits about ``SLICE_BYTES`` of texts at once and finds their distinct words;
+only these are looked up among the ``WORDS_KEPT`` words that a process remembers, and the new ones of letters go to the tokenizer's
+model together.  The ids of all these texts are put into the code at once, and read from it in slices of ``SLICE_ROWS`` rows: numpy
+over the concatenated streams, no step per document.
 
 Ranks.  Each task counts its ids as it makes them (a vector as long as the vocabulary) and adds the counts as one row behind its
 documents, in columns of their own, so that the ids are not read again for them; the counts are summed by id and ranked by falling
@@ -38,11 +39,16 @@ from tokenizers import Tokenizer
 
 from triagelake.llm.common import stored
 from triagelake.llm.packing import encoder
+from triagelake.llm.words import pieces
 from triagelake.sources.session import fresh_path
 
 BLOCK_IDS = 1 << 20
 #: Rows put into the code, or read from it, at once.
 SLICE_ROWS = 512
+#: Bytes of text whose distinct words are looked up together; a longer text is taken by itself.
+SLICE_BYTES = 4 << 20
+#: Words remembered per process: many words are rare, and those forgotten have to be encoded anew.
+WORDS_KEPT = 1_000_000
 
 #: Control byte to the byte lengths of its four values: bits 0-1 hold the first length less one, and so on.
 LENGTHS = ((np.arange(256)[:, None] >> (2 * np.arange(4))) & 3).astype(np.uint8) + np.uint8(1)
@@ -61,22 +67,19 @@ def tokens(docs: DataFrame, path: str, end: int = 2) -> DataFrame:
 
     Each task adds one row (``n`` is null) with the ids it met, ``seen``, and how often, ``times``; both are null in all other rows.
     """
-    closing = np.array([end], dtype="<u4").tobytes()
-
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = encoder(path)
+        words = encoder(path, WORDS_KEPT)
         total = np.zeros(0, dtype=np.int64)
-        for batch in _slices(batches):
-            texts = words.encode([t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()])
-            n = np.array([len(t) // 4 + 1 for t in texts], dtype=np.int64)
-            ids = np.frombuffer(b"".join([t + closing for t in texts]), "<u4")
-            found = np.bincount(ids, minlength=len(total))
-            found[: len(total)] += total
-            total = found
-            control, data = encode_batch(ids, n)
-            none = pa.nulls(len(n), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tie"), pa.array(n, pa.int64()), control, data,
-                                              none, none], schema=_TOKENS_SCHEMA)
+        for batch in batches:
+            for at, texts in pieces([t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()], SLICE_BYTES):
+                ids, n = words.flat(texts, end)
+                found = np.bincount(ids, minlength=len(total))
+                found[: len(total)] += total
+                total = found
+                control, data = encode_batch(ids, n)
+                none = pa.nulls(len(n), pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(at, len(n)) for c in ("doc_id", "tie")),
+                                                  pa.array(n, pa.int64()), control, data, none, none], schema=_TOKENS_SCHEMA)
         if len(total):
             seen = np.flatnonzero(total)
             yield pa.RecordBatch.from_pydict({"doc_id": [None], "tie": [None], "n": [None], "control": [None], "data": [None],
