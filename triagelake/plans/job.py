@@ -17,7 +17,7 @@ from triagelake.operators.responses import pair_responses
 from triagelake.options import TriageOptions
 from triagelake.sources.outputs import attach_assessments, stored, write_evidence, write_outputs
 from triagelake.sources.reports import keyed
-from triagelake.sources.session import configure, fresh_path, remove
+from triagelake.sources.session import PACKED, configure, fresh_path, remove
 
 
 @dataclass(frozen=True)
@@ -44,9 +44,12 @@ def ingest_reports_bucketed(reports: DataFrame, table: str, buckets: int) -> Dat
 
     Joins on the task id, such as attaching assessments, then read the reports where they lie: only the other, narrow side is
     shuffled to the buckets, and no report text moves.  Choose ``buckets`` so that a bucket holds some hundred MB of reports.
+
+    The reports are dealt to their buckets first, so that each bucket is one file: else every task writes a file to every bucket.
     """
     configure(reports.sparkSession)
-    keyed(reports).write.mode("overwrite").bucketBy(buckets, "task_id").sortBy("task_id").saveAsTable(table)
+    dealt = keyed(reports).repartition(buckets, "task_id")
+    dealt.write.mode("overwrite").option("compression", PACKED).bucketBy(buckets, "task_id").sortBy("task_id").saveAsTable(table)
     return reports.sparkSession.table(table)
 
 

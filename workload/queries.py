@@ -378,7 +378,7 @@ def attached_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark = configure(spark)
     table = "reports_" + fresh_path(spark, "b").rsplit("-", 1)[-1]
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    reports = ingest_reports_bucketed(reports_raw(spark, sf_dir), table, buckets)
+    reports = ingest_reports_bucketed(derived_reports(spark, sf_dir), table, buckets)
     result = run_triage(reports, responses_raw(spark, sf_dir), JOB, ingested=True)
     found = result.attached.withColumn("a", F.col(ATTACHED_COLUMN))
     return found.select("task_id", F.length("raw").isNotNull().alias("has_report"), *_shown("a."))
